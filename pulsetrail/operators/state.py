@@ -114,40 +114,46 @@ def log_sessions(activity: DataFrame, sessions: DataFrame, as_of) -> DataFrame:
 
 # ---- statements -------------------------------------------------------------------------------------------
 
-def new_queries_from_samples(queries: DataFrame, samples: DataFrame, as_of, seconds: int = 900) -> DataFrame:
-    recent = lookback(samples, "sample_time", as_of, seconds).filter(F.col("query_id").isNotNull())
-    found = recent.groupBy(F.col("query_id").alias("queryid")).agg(
-        F.min("sample_time").alias("log_dt"),
-        F.min_by("tsrv_uuid", F.struct("sample_time", "host")).alias("log_tsrv"),
-        F.min_by("host", F.struct("sample_time", "host")).alias("log_host"))
-    return only_new(found, queries, ["queryid"]).withColumn("query", F.lit(None).cast("string"))
+SOURCES = ["samples", "activity", "statements"]
 
 
-def new_queries_from_activity(queries: DataFrame, activity: DataFrame, as_of) -> DataFrame:
-    """Several texts can share an id; the smallest is taken."""
-    found = (activity.filter(F.col("query_id").isNotNull())
-             .withColumn("seen", F.coalesce("query_start", moment(as_of)))
-             .groupBy(F.col("query_id").alias("queryid")).agg(
-                 F.min("seen").alias("log_dt"),
-                 F.min_by("tsrv_uuid", F.struct("seen", "host")).alias("log_tsrv"),
-                 F.min_by("host", F.struct("seen", "host")).alias("log_host"), F.min("query").alias("query")))
-    return only_new(found, queries, ["queryid"])
+def new_queries(queries: DataFrame, samples: DataFrame, activity: DataFrame, statements: DataFrame, as_of,
+                seconds: int = 900) -> DataFrame:
+    """Statements not yet known, each from the first source that shows it: recent samples (id only), activity,
+    statement statistics. Several texts can share an id; the smallest is taken.
 
-
-def new_queries_from_statements(queries: DataFrame, statements: DataFrame, as_of) -> DataFrame:
-    found = statements.groupBy("queryid").agg(
-        F.min("tsrv_uuid").alias("log_tsrv"), F.min("host").alias("log_host"), F.min("query").alias("query"))
-    return only_new(found, queries, ["queryid"]).withColumn("log_dt", moment(as_of))
+    Every source is folded to one row per id and tagged; the smallest tag wins, so each is read once and the
+    known statements are looked up once. The extra column `source` says where a row came from.
+    """
+    columns = ["log_dt", "log_tsrv", "log_host", "query"]
+
+    def folded(rows: DataFrame, key: str, when: Column, text: Column) -> DataFrame:
+        rows = rows.filter(F.col(key).isNotNull()).withColumn("__seen", when).withColumn("__text", text)
+        first = F.min(F.struct("__seen", "host", "tsrv_uuid"))
+        return rows.groupBy(F.col(key).alias("queryid")).agg(first.alias("f"), F.min("__text").alias("query")).select(
+            "queryid", F.col("f.__seen").alias("log_dt"), F.col("f.tsrv_uuid").alias("log_tsrv"),
+            F.col("f.host").alias("log_host"), "query")
+
+    parts = [
+        folded(lookback(samples, "sample_time", as_of, seconds), "query_id", F.col("sample_time"),
+               F.lit(None).cast("string")),
+        folded(activity, "query_id", F.coalesce("query_start", moment(as_of)), F.col("query")),
+        folded(statements, "queryid", moment(as_of), F.col("query")),
+    ]
+    tagged = None
+    for rank, part in enumerate(parts):
+        one = part.select("queryid", F.struct(F.lit(rank).alias("rank"), *columns).alias("r"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    best = tagged.groupBy("queryid").agg(F.min_by("r", F.col("r.rank")).alias("r"))
+    names = F.array(*[F.lit(n) for n in SOURCES])
+    fresh = best.select("queryid", *[F.col(f"r.{c}").alias(c) for c in columns],
+                        F.element_at(names, F.col("r.rank") + 1).alias("source"))
+    return only_new(fresh, queries, ["queryid"])
 
 
 def upsert_queries(queries: DataFrame, samples: DataFrame, activity: DataFrame, statements: DataFrame, as_of,
                    seconds: int = 900) -> DataFrame:
-    """Statement dimension after three passes; a statement keeps the row of the first source that shows it."""
-    for step in (lambda q: new_queries_from_samples(q, samples, as_of, seconds),
-                 lambda q: new_queries_from_activity(q, activity, as_of),
-                 lambda q: new_queries_from_statements(q, statements, as_of)):
-        queries = extended(queries, step(queries))
-    return queries
+    return extended(queries, new_queries(queries, samples, activity, statements, as_of, seconds))
 
 
 def blank_recent(queries: DataFrame, as_of, seconds: int) -> Column:

@@ -1,9 +1,9 @@
 """Lag, lead and running ordinals that do not pull one key's whole history into one task.
 
-A plain window puts every row of a key into a single task. Here each key is cut into time slices: the window
-runs inside (key, slice), and what crosses a slice border is taken from a summary with one row per (key, slice),
-whose size depends on the time span and not on the number of rows. The summary joins back on the same
-(key, slice) hash layout the window already has, so the rows themselves are shuffled once.
+A plain window puts every row of a key into a single task. Here each key is cut into time slices and the window
+runs inside (key, slice). Only the first and last row of each slice need a neighbour from another slice, and those
+rows alone are windowed by key: at most two per slice, whatever the number of rows. Both halves read the same
+shuffle, so the rows move once.
 """
 
 from __future__ import annotations
@@ -31,29 +31,29 @@ def _join_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> Dat
     return df.join(renamed, condition, "left").drop(*[f"__k_{c}" for c in on])
 
 
-def shifted(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str], columns: dict[str, str],
-            forward: bool = False, unit: str = "hour", row_flag: str | None = None) -> DataFrame:
-    """Add, for each (source -> new name) in `columns`, the value of the previous row of the key by
-    (time, ties), or of the next row with `forward`. `row_flag` names a column telling whether such a row exists."""
-    df = _sliced(df, time, unit)
+def neighbours(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
+               before: dict[str, str] | None = None, after: dict[str, str] | None = None,
+               unit: str = "hour") -> DataFrame:
+    """Values of the previous row (`before`: source -> new column) and of the next row (`after`) of the same key
+    by (time, ties); NULL where there is none. `unit` is the slice: the shorter, the finer a busy key is spread."""
+    before, after = before or {}, after or {}
     order = [F.col(c) for c in (time, *ties)]
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    move = F.lead if forward else F.lag
-    values = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    with_inner = df.withColumn("__inner", move(values, 1).over(inside))
+    inside, across = (Window.partitionBy(*keys, _SLICE).orderBy(*order), Window.partitionBy(*keys).orderBy(*order))
 
-    # The value a slice hands to its neighbour: its last row (lag) or its first row (lead).
-    pick = F.min_by if forward else F.max_by
-    edge = df.groupBy(*keys, _SLICE).agg(pick(values, F.struct(*order)).alias("__edge"))
-    between = Window.partitionBy(*keys).orderBy(_SLICE)
-    carried = edge.select(*keys, _SLICE, move("__edge", 1).over(between).alias("__carry"))
+    rows = (_sliced(df, time, unit).withColumn("__first", F.lag(F.lit(1), 1).over(inside).isNull())
+            .withColumn("__last", F.lead(F.lit(1), 1).over(inside).isNull()))
+    for source, name in before.items():
+        rows = rows.withColumn(name, F.lag(source, 1).over(inside))
+    for source, name in after.items():
+        rows = rows.withColumn(name, F.lead(source, 1).over(inside))
 
-    out = _join_summary(with_inner, carried, keys).withColumn("__moved", F.coalesce("__inner", "__carry"))
-    for i, name in enumerate(columns.values()):
-        out = out.withColumn(name, F.col(f"__moved.v{i}"))
-    if row_flag:
-        out = out.withColumn(row_flag, F.col("__moved").isNotNull())
-    return out.drop("__inner", "__carry", "__moved", _SLICE)
+    at_edge = F.col("__first") | F.col("__last")
+    edges = rows.filter(at_edge)
+    for source, name in before.items():
+        edges = edges.withColumn(name, F.when(F.col("__first"), F.lag(source, 1).over(across)).otherwise(F.col(name)))
+    for source, name in after.items():
+        edges = edges.withColumn(name, F.when(F.col("__last"), F.lead(source, 1).over(across)).otherwise(F.col(name)))
+    return rows.filter(~at_edge).unionByName(edges).drop("__first", "__last", _SLICE)
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str], name: str,
@@ -71,15 +71,12 @@ def ordinal(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
 def counter_delta(log: DataFrame, keys: Sequence[str], time: str, columns: dict[str, str],
                   unit: str = "hour", ties: Sequence[str] = ()) -> DataFrame:
     """Value minus the previous value of the same key, for each (counter -> delta name)."""
-    moved = shifted(log, keys, time, ties, {c: f"__prev_{c}" for c in columns}, unit=unit)
+    moved = neighbours(log, keys, time, ties, before={c: f"__prev_{c}" for c in columns}, unit=unit)
     for source, delta in columns.items():
         moved = moved.withColumn(delta, F.col(source) - F.col(f"__prev_{source}"))
     return moved.drop(*[f"__prev_{c}" for c in columns])
 
 
-def blank_repeats(df: DataFrame, column: str, shown: Column, name: str, keys: Sequence[str], time: str,
-                  ties: Sequence[str], unit: str = "hour") -> DataFrame:
-    """`shown`, but NULL where `column` repeats the previous row's value within the key."""
-    moved = shifted(df, keys, time, ties, {column: "__previous"}, unit=unit)
-    return (moved.withColumn(name, F.when(F.col(column) == F.col("__previous"), F.lit(None)).otherwise(shown))
-            .drop("__previous"))
+def blank_repeat(column: str, previous: str, shown: Column) -> Column:
+    """`shown`, but NULL where `column` repeats the previous row's value."""
+    return F.when(F.col(column) == F.col(previous), F.lit(None)).otherwise(shown)

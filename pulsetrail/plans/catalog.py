@@ -18,13 +18,15 @@ from ..operators.windows import counter_delta
 from ..session import run_folder
 from ..sources import testdata as td
 from ..sources import text as tx
-from ..sources.tables import table_inventory
+from ..sources.tables import overwrite, table_inventory
 from ..sources.testdata import AS_OF, EVENTS_SCHEMA, HOSTS, LOOKBACK_SECONDS, OVERLAP, TestData, samples_from_events
 from ..streaming import samples as sm
 from . import collect, dashboards, derive, drilldown, interval, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 START, END = interval_from_offsets(AS_OF, LOOKBACK_SECONDS, LOOKBACK_SECONDS)
+RR_SCHEMA = "sess_id long, rr_uuid string, rr_min_dt timestamp_ntz, rr_max_dt timestamp_ntz"
+LINK_SCHEMA = "rr_uuid string, queryid long, qurr_start_dt timestamp_ntz, dur_ms long"
 TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",
           "nation", "orders", "pages", "part", "region", "supplier"]
 INVENTORY_PREFIXES = ["event", "document", "part", "order", "line", "custom", "suppl", "page", "label"]
@@ -36,12 +38,32 @@ def _on_data(build: Callable[[TestData], DataFrame]) -> Query:
 
 # ---- derived requests, shared by the drill-downs ----------------------------------------------------------
 
-def _rr(t: TestData) -> DataFrame:
+_DERIVED: dict[tuple[str, str], str] = {}
+
+
+def _build_rr(t: TestData) -> DataFrame:
     return derive.build_root_requests(t.samples, t.sessions, AS_OF, LOOKBACK_SECONDS)
 
 
+def _derived(t: TestData) -> str:
+    """Folder with the derived request and link tables of a data folder. Reports read these tables, as they would
+    those of a regular derivation job; they are built once per application, in the shared folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _DERIVED:
+        folder = run_folder(t.spark, "derived")
+        overwrite(_build_rr(t), f"{folder}/root_request_mst")
+        overwrite(derive.build_rr_query_links(t.spark.read.parquet(f"{folder}/root_request_mst"), t.samples),
+                  f"{folder}/root_request_query_lnk")
+        _DERIVED[key] = folder
+    return _DERIVED[key]
+
+
+def _rr(t: TestData) -> DataFrame:
+    return t.spark.read.schema(RR_SCHEMA).parquet(f"{_derived(t)}/root_request_mst")
+
+
 def _links(t: TestData) -> DataFrame:
-    return derive.build_rr_query_links(_rr(t), t.samples)
+    return t.spark.read.schema(LINK_SCHEMA).parquet(f"{_derived(t)}/root_request_query_lnk")
 
 
 def _cut(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -94,10 +116,10 @@ def _inventory(spark: SparkSession, folder: str) -> DataFrame:
 # ---- derivation and drill-downs ---------------------------------------------------------------------------
 
 DRILLDOWNS: dict[str, Query] = {
-    "build_root_requests": _on_data(_rr),
+    "build_root_requests": _on_data(_build_rr),
     "build_root_requests_temporal": _on_data(lambda t: derive.build_root_requests(
         t.samples, t.sessions, AS_OF, LOOKBACK_SECONDS, temporal=True)),
-    "build_rr_query_links": _on_data(_links),
+    "build_rr_query_links": _on_data(lambda t: derive.build_rr_query_links(_build_rr(t), t.samples)),
     "merge_spans": _on_data(lambda t: derive.extend_root_requests(*[
         derive.build_root_requests(part, t.sessions, AS_OF, LOOKBACK_SECONDS) for part in _cut(t.samples)])),
     "session_info": _on_data(lambda t: drilldown.session_info(t.sessions)),

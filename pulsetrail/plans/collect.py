@@ -76,15 +76,11 @@ def collect_databases(databases: DataFrame, batch: DataFrame, as_of) -> Collecte
 
 def collect_queries(queries: DataFrame, log: DataFrame, samples: DataFrame, activity: DataFrame,
                     statements: DataFrame, as_of, seconds: int = 900) -> Collected:
-    from_samples = st.new_queries_from_samples(queries, samples, as_of, seconds)
-    after_samples = st.extended(queries, from_samples)
-    from_activity = st.new_queries_from_activity(after_samples, activity, as_of)
-    after_activity = st.extended(after_samples, from_activity)
-    from_statements = st.new_queries_from_statements(after_activity, statements, as_of)
-    state = st.extended(after_activity, from_statements)
+    fresh = st.new_queries(queries, samples, activity, statements, as_of, seconds)
+    state = st.extended(queries, fresh)
     changed = st.log_statements(log, statements, as_of)
     return Collected("queries", {"query_mst": st.fill_query_text(state, statements, as_of)}, {"query_log": changed},
-                     {"samples": from_samples, "activity": from_activity, "statements": from_statements,
+                     {**{source: fresh.filter(F.col("source") == source) for source in st.SOURCES},
                       "filled": state.filter(st.blank_recent(state, as_of, 3600)), "log": changed})
 
 

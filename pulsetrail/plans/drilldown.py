@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import (clock, clock_ms, clock_ms_dashed, day_clock, millis_truncated, rr_key, seconds3)
 from ..operators.filters import lookback, only_pid, rr_like
 from ..operators.joins import attach_tablet, join_query
-from ..operators.windows import blank_repeats, shifted
+from ..operators.windows import blank_repeat, neighbours
 from .derive import rr_view
 
 
@@ -65,10 +65,11 @@ def session_rr_queries(root_requests: DataFrame, links: DataFrame, queries: Data
     line = (links.join(requests, links["rr_uuid"] == requests["__rr"], "inner").drop("__rr"))
     line = join_query(line, queries, "queryid")
     ties = ["rr_uuid", "queryid"]
-    line = shifted(line, ["sess_id"], "qurr_start_dt", ties, {"qurr_start_dt": "next_start"}, forward=True)
-    line = blank_repeats(line, "rr_uuid", F.substring("rr_uuid", 1, 4), "rr_shown", ["sess_id"], "qurr_start_dt", ties)
+    line = neighbours(line, ["sess_id"], "qurr_start_dt", ties, before={"rr_uuid": "rr_before"},
+                      after={"qurr_start_dt": "next_start"})
+    shown = blank_repeat("rr_uuid", "rr_before", F.substring("rr_uuid", 1, 4))
     return (line.orderBy("pid", "sess_id", "qurr_start_dt", *ties)
-            .select("pid", F.col("rr_shown").alias("rr_uuid"), clock_ms(F.col("qurr_start_dt")).alias("qury_started"),
+            .select("pid", shown.alias("rr_uuid"), clock_ms(F.col("qurr_start_dt")).alias("qury_started"),
                     "queryid", millis_truncated(F.col("qurr_start_dt"), F.col("next_start")).alias("lag_ms"),
                     "dur_ms", "query"))
 
@@ -94,11 +95,11 @@ def session_events(root_requests: DataFrame, samples: DataFrame, tablets: DataFr
     rows = (rows.join(requests, rows["root_request_id"] == requests["rr_uuid"], "inner"))
     rows = rows.join(known, rows["query_id"] == known["__q"], "left_semi")
     rows = attach_tablet(rows, tablets, "left")
-    rows = blank_repeats(rows, "rr_uuid", F.substring("rr_uuid", 1, 8), "rr_shown", ["sess_id"], "sample_time",
-                         ["sample_id"])
+    rows = neighbours(rows, ["sess_id"], "sample_time", ["sample_id"], before={"rr_uuid": "rr_before"})
+    shown = blank_repeat("rr_uuid", "rr_before", F.substring("rr_uuid", 1, 8))
     mark = F.when(F.col("rpc_request_id") == 0, F.col("host")).otherwise(F.concat(F.lit(" L "), F.col("host")))
     return (rows.orderBy("session_pid", "sess_id", "sample_time", "sample_id")
-            .select(F.col("session_pid").alias("pid"), F.col("rr_shown").alias("rr_uuid"),
+            .select(F.col("session_pid").alias("pid"), shown.alias("rr_uuid"),
                     clock_ms(F.col("sample_time")).alias("time_ms"),
                     F.concat(mark, F.lit("     "), F.substring("wait_event", 1, 15)).alias("event"),
                     "table_name", F.substring("wait_event_aux", 1, 12).alias("ev_aux"),

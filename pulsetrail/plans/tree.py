@@ -21,7 +21,7 @@ HEADER, BODY, CLOSING, REPORT_END = 0, 1, 2, 9
 
 
 def ordered(lines: DataFrame) -> DataFrame:
-    return lines.orderBy(*[F.col(c).asc_nulls_first() for c in ORDER])
+    return lines.orderBy(*[F.col(c).asc_nulls_last() for c in ORDER])
 
 
 def _lines(df: DataFrame, *parts: tuple[int, int, Column]) -> DataFrame:
@@ -48,11 +48,11 @@ def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, s
     requests = _requests(root_requests, sessions, pid)
     numbered = ordinal(requests, ["pid"], "rr_min_dt", ["rr_uuid", "sess_id"], "rr_no")
     short = F.substring("rr_uuid", 1, 2)
+    labelled = join_query(links, queries, "queryid")
 
     # statements of each request, with the number of samples they have there
     owner = numbered.select(F.col("rr_uuid").alias("__rr"), "pid", "sess_id", "rr_min_dt", "rr_no")
-    statements = (join_query(links, queries, "queryid")
-                  .join(owner, F.col("rr_uuid") == F.col("__rr"), "inner").drop("__rr"))
+    statements = labelled.join(owner, F.col("rr_uuid") == F.col("__rr"), "inner").drop("__rr")
     statements = ordinal(statements, ["sess_id", "rr_uuid"], "qurr_start_dt", ["queryid"], "ql_no")
     sizes = (samples.groupBy(F.col("root_request_id").alias("__rr"), F.col("query_id").alias("__q"))
              .agg(F.count(F.lit(1)).alias("al_no")))
@@ -60,10 +60,8 @@ def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, s
                                "left").drop("__rr", "__q").withColumn("al_no", F.coalesce("al_no", F.lit(0))))
 
     # request header and closing; the closing line shows the start of the last statement
-    last = statements.groupBy(F.col("sess_id").alias("__s"), F.col("rr_uuid").alias("__rr")).agg(
-        F.max("qurr_start_dt").alias("last_start"))
-    framed = requests.join(last, (requests["sess_id"] == last["__s"]) & (requests["rr_uuid"] == last["__rr"]),
-                           "left").drop("__s", "__rr")
+    last = labelled.groupBy(F.col("rr_uuid").alias("__rr")).agg(F.max("qurr_start_dt").alias("last_start"))
+    framed = requests.join(last, requests["rr_uuid"] == last["__rr"], "left").drop("__rr")
     title = F.concat(clock_ms(F.col("rr_min_dt")), F.lit("  "), F.col("rr_uuid"), F.lit(" from pid: "),
                      F.col("pid").cast("string"), F.lit(" clnt: "), F.col("client_addr"), F.lit(":"),
                      F.col("client_port").cast("string"), F.lit(" app: "), F.col("app_name"), F.lit("  "))
@@ -79,11 +77,12 @@ def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, s
     statement_lines = _lines(counted, (BODY, 0, start), (BODY, 1, query_line), (BODY, 2, start),
                              (BODY, 4, F.concat(start, F.lit("   -- -- -- end qry -- -- -- / "), numbers)))
 
-    # samples; only requests and statements of the report
-    place = statements.select(F.col("rr_uuid").alias("__rr"), F.col("queryid").alias("__q"), "rr_uuid", "queryid",
-                              F.col("pid").alias("report_pid"), "sess_id", "rr_min_dt", "qurr_start_dt")
-    hits = samples.join(place, (samples["root_request_id"] == place["__rr"]) & (samples["query_id"] == place["__q"]),
-                        "inner").drop("__rr", "__q")
+    # samples of the reported requests and statements
+    place = (labelled.select("rr_uuid", "queryid", "qurr_start_dt")
+             .join(requests.select(F.col("rr_uuid").alias("__own"), F.col("pid").alias("report_pid"), "sess_id",
+                                   "rr_min_dt"), F.col("rr_uuid") == F.col("__own"), "inner").drop("__own"))
+    hits = samples.join(place, (samples["root_request_id"] == place["rr_uuid"])
+                        & (samples["query_id"] == place["queryid"]), "inner")
     hits = attach_tablet(hits, tablets, "left").withColumn("pid", F.col("report_pid"))
     where = F.when(F.col("rpc_request_id") == 0,
                    F.concat(F.lit("  "), F.col("host"), F.lit("      "), F.col("wait_event"))).otherwise(

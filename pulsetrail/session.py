@@ -21,7 +21,8 @@ SETTINGS = {
 def build_session(app_name: str = "pulsetrail", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = (builder.master(master).config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false"))
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import mega
 from ..operators.filters import starts_with_any
 from ..schemas import INPUTS, TABLES
 
@@ -39,7 +40,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
 
 def write_report(lines: DataFrame, path: str, order: Sequence[str], text: str = "output") -> None:
     """Report lines as text files whose name order is the line order."""
-    lines.orderBy(*[F.col(c).asc_nulls_first() for c in order]).select(text).write.mode("overwrite").text(path)
+    lines.orderBy(*[F.col(c).asc_nulls_last() for c in order]).select(text).write.mode("overwrite").text(path)
 
 
 class VersionedTables:
@@ -94,22 +95,25 @@ class VersionedTables:
         wanted = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         rows = self.spark.read.schema(wanted).parquet(f"{self.root}/{name}")
         rows = rows if before is None else rows.filter(F.col("batch") < before)
-        return rows.drop("batch")
+        return rows.select(*schema.fieldNames())
 
 
 def table_inventory(spark: SparkSession, paths: dict[str, str], prefixes: Sequence[str]) -> DataFrame:
     """Rows, files and MB of each table whose name starts with one of `prefixes`, by name.
 
-    Counts come from the files' footers and sizes from file metadata; no column is read.
+    One scan covers all tables. It reads no column: counts come from the file footers, sizes from file metadata.
     """
-    parts = None
-    for number, (name, path) in enumerate(sorted(paths.items())):
-        files = (spark.read.parquet(path)
-                 .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-                 .groupBy("file").agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")))
-        one = (files.agg(F.count(F.lit(1)).alias("num_tablets"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-                         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
-               .select(F.lit(number).alias("oid"), F.lit(name).alias("relname"), "num_tablets",
-                       F.expr("bytes div 1024 div 1024").alias("size_mb"), "rows"))
-        parts = one if parts is None else parts.unionByName(one)
-    return parts.filter(starts_with_any(F.col("relname"), prefixes)).orderBy("oid", "relname")
+    names = sorted(paths)
+    table = None
+    for name in names:
+        hit = F.contains(F.col("_metadata.file_path"), F.lit(paths[name]))
+        table = F.when(hit, name) if table is None else table.when(hit, name)
+    rows = (spark.read.schema(T.StructType([])).parquet(*[paths[n] for n in names])
+            .select(table.alias("relname"), F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_size").alias("bytes")))
+    files = rows.groupBy("relname", "file").agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    oid = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("relname"))
+    return (files.filter(starts_with_any(F.col("relname"), prefixes))
+            .groupBy("relname").agg(F.count(F.lit(1)).alias("num_tablets"),
+                                    mega(F.sum("bytes")).alias("size_mb"), F.sum("n").alias("rows"))
+            .select(oid.alias("oid"), "relname", "num_tablets", "size_mb", "rows").orderBy("oid", "relname"))

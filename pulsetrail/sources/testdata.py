@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dashed_uuid, moment
 from ..schemas import DATABASE_COUNTERS, INPUTS, STATEMENT_COUNTERS
@@ -36,6 +37,11 @@ def node_name(number: Column) -> Column:
     return F.concat(F.lit("node"), number.cast("string"))
 
 
+def _null(kind: T.DataType) -> Column:
+    """Typed NULL; moments are zone-less here, like those of the supplied tables."""
+    return F.lit(None).cast("timestamp_ntz" if isinstance(kind, T.TimestampType) else kind)
+
+
 def _pick(column: Column, mapping: dict[str, str], default: str | None = None) -> Column:
     out = None
     for key, value in mapping.items():
@@ -124,9 +130,9 @@ class TestData:
         return numbers.select(node_name(F.col("n")).alias("host"), node_uuid(F.col("n")).alias("tsrv_uuid"))
 
     def _placed(self, parts: DataFrame, even: Column) -> DataFrame:
-        """Two replicas per tablet: nodes 2 and 4, or 3 and 5."""
-        return parts.withColumn("n", F.explode(F.when(even, F.array(F.lit(2), F.lit(4)))
-                                                .otherwise(F.array(F.lit(3), F.lit(5)))))
+        """Two replicas per tablet: nodes 3 and 5, or 2 and 4."""
+        return parts.withColumn("n", F.explode(F.when(even, F.array(F.lit(3), F.lit(5)))
+                                                .otherwise(F.array(F.lit(2), F.lit(4)))))
 
     @cached_property
     def replicas(self) -> DataFrame:
@@ -226,7 +232,7 @@ class TestData:
                 .filter(F.col("last_ts") >= moment(LAST_DAY))
                 .withColumn("backend_start",
                             F.when(user % 7 == 0, F.col("restart_ts")).otherwise(F.col("first_ts"))))
-        return base.select(*[(fixed[n] if n in fixed else F.lit(None).cast(schema[n].dataType)).alias(n)
+        return base.select(*[(fixed[n] if n in fixed else _null(schema[n].dataType)).alias(n)
                              for n in names])
 
     def _statements(self, samples: DataFrame) -> DataFrame:
@@ -240,7 +246,7 @@ class TestData:
         schema = INPUTS["statements"]
         return (samples.groupBy("host", "tsrv_uuid", "query_id", "dbid").agg(F.count("*").alias("n"))
                 .select("host", "tsrv_uuid",
-                        *[(fixed[f.name] if f.name in fixed else F.lit(None).cast(f.dataType)).alias(f.name)
+                        *[(fixed[f.name] if f.name in fixed else _null(f.dataType)).alias(f.name)
                           for f in schema]))
 
     @cached_property
@@ -283,7 +289,7 @@ class TestData:
                      F.count_if(F.col("wait_event_type") == "Timeout").alias("errors"))
                 .select("host", "tsrv_uuid",
                         *[(fixed[f.name] if f.name in fixed else F.lit(0).cast(f.dataType) if f.name in _ZERO
-                           else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]))
+                           else _null(f.dataType)).alias(f.name) for f in schema]))
 
     @cached_property
     def known_databases(self) -> DataFrame:

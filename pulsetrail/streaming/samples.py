@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import state as st
-from ..operators.aggregates import merge_spans
 from ..operators.filters import drop_noise, foreground
 from ..operators.joins import only_new
 from ..plans.dashboards import wait_type_columns
@@ -149,9 +148,8 @@ def lifetimes(spans: DataFrame, timeout_seconds: int) -> DataFrame:
 
     Session windows with a per-row gap: a piece reaches from its start to its end plus the timeout.
     """
-    gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                             (F.timestamp_diff("MICROSECOND", F.col("opened"), F.col("last_seen")) / 1e6
-                              + F.lit(timeout_seconds)).cast("decimal(18,6)"))
+    seconds = F.timestamp_diff("MICROSECOND", F.col("opened"), F.col("last_seen")) / 1e6 + F.lit(timeout_seconds)
+    gap = F.make_interval(secs=seconds)
     return (spans.groupBy(F.session_window("opened", gap).alias("w"), *_LIFE_KEYS)
             .agg(F.min("opened").alias("opened"), F.max("last_seen").alias("last_seen"))
             .select(*_LIFE_KEYS, "opened", "last_seen"))
@@ -166,13 +164,13 @@ def track_lifetimes(timeout_seconds: int):
         pieces = (rows.groupBy(*_LIFE_KEYS, F.date_trunc("minute", "sample_time").alias("m"))
                   .agg(F.min("sample_time").alias("opened"), F.max("sample_time").alias("last_seen")).drop("m"))
         known = tables.read("open_life", LIFE_SCHEMA, before=batch_id)
-        merged = lifetimes(known.unionByName(pieces), timeout_seconds)
-        newest = merged.agg(F.max("last_seen").alias("newest"))
-        idle = F.timestamp_diff("SECOND", F.col("last_seen"), F.col("newest")) >= timeout_seconds
-        aged = merged.crossJoin(F.broadcast(newest)).withColumn("closed", idle).drop("newest").persist()
-        tables.add("closed_life", aged.filter("closed").drop("closed"), batch_id)
-        tables.replace("open_life", aged.filter("NOT closed").drop("closed"), batch_id)
-        aged.unpersist()
+        merged = lifetimes(known.unionByName(pieces), timeout_seconds).persist()
+        newest = merged.agg(F.max("last_seen")).first()[0]  # one timestamp, back as a literal
+        limit = F.lit(newest - dt.timedelta(seconds=timeout_seconds) if newest else None).cast("timestamp_ntz")
+        closed = F.coalesce(F.col("last_seen") <= limit, F.lit(False))
+        tables.add("closed_life", merged.filter(closed), batch_id)
+        tables.replace("open_life", merged.filter(~closed), batch_id)
+        merged.unpersist()
 
     return handle
 
@@ -225,7 +223,3 @@ def split_late(horizon: dt.timedelta, schema: T.StructType):
         tables.replace("newest", rows.sparkSession.createDataFrame([(newest,)], NEWEST_SCHEMA), batch_id)
 
     return handle
-
-
-def extend_requests(known: DataFrame, batch: DataFrame) -> DataFrame:
-    return merge_spans(known, batch, ["sess_id", "rr_uuid"], "rr_min_dt", "rr_max_dt")
