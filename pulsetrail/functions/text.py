@@ -14,8 +14,9 @@ _MEGA = 1024
 
 
 def query_label(query: Column, length: int = 60) -> Column:
-    """One-line label of a statement: newlines become blanks, first `length` characters."""
-    return F.substring(F.replace(query, F.lit("\n"), F.lit(" ")), 1, length)
+    """One-line label of a statement: first `length` characters, newlines as blanks. Cutting first leaves only
+    the label to rewrite, however long the text."""
+    return F.replace(F.substring(query, 1, length), F.lit("\n"), F.lit(" "))
 
 
 def hex_prefix(uuid: Column, length: int = 15) -> Column:

@@ -40,9 +40,11 @@ def latest_snapshot(log: DataFrame, column: str = "snap_id") -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, column: str, count: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Counts as rows x columns, NULL where a pair never occurs. Pass the column values to save a job.
-    Expects pre-counted input (`count`), so the pivot only moves one row per pair."""
-    return df.groupBy(row).pivot(column, list(columns) if columns else None).agg(F.sum(count))
+    """Sums of `count` as rows x columns, NULL where a pair never occurs. With the column values given it is one
+    aggregation; without, the values are looked up first by an extra job."""
+    if columns is None:
+        return df.groupBy(row).pivot(column).agg(F.sum(count))
+    return df.groupBy(row).agg(*[F.sum(F.when(F.col(column) == value, F.col(count))).alias(value) for value in columns])
 
 
 def scalar_or_default(df: DataFrame, column: str, default: Column, name: str) -> DataFrame:

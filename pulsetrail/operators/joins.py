@@ -31,15 +31,8 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return condition
 
 
-def only_new(new: DataFrame, old: DataFrame, keys: Sequence[str], prune_on: str | None = None) -> DataFrame:
-    """Rows of `new` whose key is not in `old`; NULL keys compare equal, so a re-run adds nothing.
-
-    `prune_on` names a key column that partitions `old` (a date). `old` is then first reduced to the values
-    that occur in `new`: the scan of a large history reads only those partitions.
-    """
-    if prune_on is not None:
-        present = new.select(F.col(prune_on).alias("__present")).distinct()
-        old = old.join(present, old[prune_on] == present["__present"], "left_semi")
+def only_new(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `new` whose key is not in `old`; NULL keys compare equal, so a re-run adds nothing."""
     known = renamed_keys(old, keys).distinct()
     return new.join(known, null_safe(new, known, keys), "left_anti")
 

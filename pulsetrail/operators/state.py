@@ -77,9 +77,10 @@ def open_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
 def ghost_sessions(sessions: DataFrame, samples: DataFrame) -> DataFrame:
     """New rows guessed from samples of processes no session is known for: the earliest sample stands in for
     the start, the node that took it is the host, and the user id stays unknown."""
-    processes = (samples.groupBy("top_level_node_id", "pid", "client_node_ip", "dbid")
-                 .agg(F.min("sample_time").alias("backend_start"),
-                      F.min_by("host", F.struct("sample_time", "host")).alias("host"))
+    keys = ["top_level_node_id", "pid", "client_node_ip", "dbid"]
+    per_host = samples.groupBy(*keys, "host").agg(F.min("sample_time").alias("first"))  # folds the samples
+    processes = (per_host.groupBy(*keys)
+                 .agg(F.min("first").alias("backend_start"), F.min_by("host", F.struct("first", "host")).alias("host"))
                  .withColumnRenamed("top_level_node_id", "tsrv_uuid"))
     fresh = only_new(processes, sessions.withColumn("pid", F.col("pid").cast("long")), ["tsrv_uuid", "pid"])
     return with_key(fresh, ["tsrv_uuid", "host", "pid", "client_node_ip", "backend_start"]).select(
@@ -134,9 +135,11 @@ def new_queries(queries: DataFrame, samples: DataFrame, activity: DataFrame, sta
             "queryid", F.col("f.__seen").alias("log_dt"), F.col("f.tsrv_uuid").alias("log_tsrv"),
             F.col("f.host").alias("log_host"), "query")
 
+    # samples carry no text: fold them to one time per statement and node first
+    recent = (lookback(samples, "sample_time", as_of, seconds).groupBy("query_id", "host", "tsrv_uuid")
+              .agg(F.min("sample_time").alias("sample_time")))
     parts = [
-        folded(lookback(samples, "sample_time", as_of, seconds), "query_id", F.col("sample_time"),
-               F.lit(None).cast("string")),
+        folded(recent, "query_id", F.col("sample_time"), F.lit(None).cast("string")),
         folded(activity, "query_id", F.coalesce("query_start", moment(as_of)), F.col("query")),
         folded(statements, "queryid", moment(as_of), F.col("query")),
     ]
@@ -220,27 +223,39 @@ def close_tablets(tablets: DataFrame, replicas: DataFrame, as_of) -> DataFrame:
 
 # ---- samples and events -----------------------------------------------------------------------------------
 
-def load_samples(log: DataFrame, batch: DataFrame, day: str | None = None) -> DataFrame:
+def load_samples(log: DataFrame, batch: DataFrame) -> DataFrame:
     """New sample rows: not yet in the log by the natural key, background noise dropped, NULL call ids as 0.
 
-    Only the log is consulted: equal rows inside one export are distinct observations and all kept. With a log
-    partitioned by date, `day` names that column and the scan is limited to the days of the batch.
+    Only the log is consulted: equal rows inside one export are distinct observations and all kept. Of a log
+    partitioned by day, hand in `log_of_days`: the key holds the sample time, so other days cannot match.
     """
     rows = drop_noise(batch).withColumn("rpc_request_id", F.coalesce("rpc_request_id", F.lit(0).cast("long")))
-    keys = SAMPLE_KEY
-    if day is not None:
-        rows = rows.withColumn(day, F.to_date("sample_time"))
-        keys = [*SAMPLE_KEY, day]
-    return only_new(rows, log, keys, prune_on=day)
+    return only_new(rows, log, SAMPLE_KEY)
+
+
+def log_of_days(log: DataFrame, batch: DataFrame, day: str = "day") -> DataFrame:
+    """The partitions of the log that the batch can touch. Two dates come to the driver and go back as literals,
+    so the other partitions are not even listed for the scan."""
+    first, last = batch.agg(F.to_date(F.min("sample_time")), F.to_date(F.max("sample_time"))).first()
+    return log.filter(F.col(day).between(F.lit(first), F.lit(last)) if first else F.lit(False))
+
+
+def distinct_events(samples: DataFrame) -> DataFrame:
+    """One row per (component, event) with the smallest type and class and the host that showed it first.
+
+    The first step groups by all the text columns, so only times are aggregated and the rows are folded in hash
+    tables before the shuffle; the second step works on what is left, a few rows per event and host.
+    """
+    keys = ["wait_event_component", "wait_event"]
+    seen = (samples.filter(F.col("wait_event_component").isNotNull() & F.col("wait_event").isNotNull())
+            .groupBy(*keys, "wait_event_type", "wait_event_class", "host").agg(F.min("sample_time").alias("first")))
+    return seen.groupBy(*keys).agg(
+        F.min("wait_event_type").alias("wait_event_type"), F.min("wait_event_class").alias("wait_event_class"),
+        F.min_by("host", F.struct("first", "host")).alias("log_host"))
 
 
 def upsert_events(events: DataFrame, samples: DataFrame, as_of) -> DataFrame:
     """New catalogue rows: (component, event) pairs not yet known, with a note on where they were first found."""
-    found = (samples.filter(F.col("wait_event_component").isNotNull() & F.col("wait_event").isNotNull())
-             .groupBy("wait_event_component", "wait_event")
-             .agg(F.min("wait_event_type").alias("wait_event_type"),
-                  F.min("wait_event_class").alias("wait_event_class"),
-                  F.min_by("host", F.struct("sample_time", "host")).alias("log_host"))
-             .withColumn("wait_event_notes",
-                         F.concat(F.lit("first found on: "), F.col("log_host"), F.lit(f", at: {as_of}"))))
+    found = distinct_events(samples).withColumn(
+        "wait_event_notes", F.concat(F.lit("first found on: "), F.col("log_host"), F.lit(f", at: {as_of}")))
     return only_new(found, events, ["wait_event_component", "wait_event"])

@@ -304,7 +304,7 @@ STREAMS: dict[str, Query] = {
         sm.minute_wait_types(_stream(s, f)), "waits")),
     "stream_rr_spans": lambda s, f: sm.read_spans(_batches(s, f, sm.add_spans, "spans")),
     "stream_activity_bursts": lambda s, f: _unzoned(sm.run_to_parquet(
-        sm.activity_bursts(_stream(s, f), "6 hours"), "bursts", sm.SESSION_SETTINGS)),
+        sm.activity_bursts(_stream(s, f), "6 hours"), "bursts")),
     "stream_session_lifetimes": lambda s, f: sm.read_lifetimes(
         _batches(s, f, sm.track_lifetimes(LIFETIME_TIMEOUT), "lifetimes")),
     "stream_first_seen_events": lambda s, f: _batches(s, f, sm.add_first_seen, "events")

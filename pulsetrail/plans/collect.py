@@ -121,8 +121,8 @@ def collect_tablets(tablets: DataFrame, replicas: DataFrame, local: DataFrame, a
         "r_gone": tracked.filter(F.col("gone_dt") == now), "m_gone": state.filter(F.col("gone_dt") == now)})
 
 
-def collect_samples(log: DataFrame, batch: DataFrame, day: str | None = None) -> Collected:
-    rows = st.load_samples(log, batch, day)
+def collect_samples(log: DataFrame, batch: DataFrame) -> Collected:
+    rows = st.load_samples(log, batch)
     return Collected("samples", append={"sample_log": rows}, steps={"log": rows})
 
 

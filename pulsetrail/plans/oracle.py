@@ -646,7 +646,8 @@ QUERIES = {
                CASE WHEN max(sample_time) <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR THEN max(sample_time) END AS gone_dt
         FROM bursts GROUP BY top_level_node_id, pid, burst""",
     "stream_first_seen_events": """SELECT wait_event_component, wait_event, min(wait_event_type) AS wait_event_type,
-                                   min(wait_event_class) AS wait_event_class FROM samples GROUP BY 1, 2""",
+                                   min(wait_event_class) AS wait_event_class,
+                                   arg_min(host, (sample_time, host)) AS log_host FROM samples GROUP BY 1, 2""",
     "stream_file_drop": "SELECT * FROM quiet",
     "stream_late_rows": """SELECT sample_id, sample_time, host FROM samples
                            WHERE sample_time < (SELECT max(ts) FROM events) - INTERVAL 15 DAY""",

@@ -27,6 +27,11 @@ LATE = "2024-01-29 00:00:00"
 HOSTS = ["node2", "node3", "node4", "node5"]
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+SCHEMAS = {
+    "events": EVENTS_SCHEMA,
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
 
 
 def node_uuid(number: Column) -> Column:
@@ -94,11 +99,11 @@ class TestData:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENTS_SCHEMA).parquet(f"{self.folder}/events.parquet")
+        return self.table("events")
 
     # ---- history as the reports see it -------------------------------------------------------------------
 

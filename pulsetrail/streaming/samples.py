@@ -23,10 +23,13 @@ from ..sources.tables import VersionedTables
 
 HORIZON = "900 seconds"
 
-# Sessions of one busy process are merged before the shuffle, not only after it.
-SESSION_SETTINGS = {
+STATE_SETTINGS = {
+    # state on local disk with a change log in the checkpoint, instead of on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # sessions of one busy process are merged before the shuffle, not only after it
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
@@ -77,12 +80,12 @@ def activity_bursts(samples: DataFrame, gap: str = "10 minutes", horizon: str =
             .select("top_level_node_id", "pid", "first_seen", "last_seen", "cnt"))
 
 
-def run_to_parquet(stream: DataFrame, purpose: str, session_settings: dict[str, str] | None = None) -> DataFrame:
+def run_to_parquet(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append-mode stream over everything available, then read back what it wrote."""
     spark = stream.sparkSession
     folder = run_folder(spark, purpose)
-    before = {k: spark.conf.get(k, None) for k in session_settings or {}}
-    for key, value in (session_settings or {}).items():
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
         spark.conf.set(key, value)
     try:
         (stream.writeStream.outputMode("append").format("parquet")
@@ -184,14 +187,12 @@ def read_lifetimes(tables: VersionedTables) -> DataFrame:
 # ---- first-seen events, incremental load, late rows -------------------------------------------------------
 
 EVENT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
-                             ("wait_event_component", "wait_event", "wait_event_type", "wait_event_class")])
+                             ("wait_event_component", "wait_event", "wait_event_type", "wait_event_class", "log_host")])
 
 
 def add_first_seen(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
     known = tables.read_all("event_mst", EVENT_SCHEMA, before=batch_id)
-    found = (rows.groupBy("wait_event_component", "wait_event")
-             .agg(F.min("wait_event_type").alias("wait_event_type"), F.min("wait_event_class").alias("wait_event_class")))
-    tables.add("event_mst", only_new(found, known, ["wait_event_component", "wait_event"]), batch_id)
+    tables.add("event_mst", only_new(st.distinct_events(rows), known, ["wait_event_component", "wait_event"]), batch_id)
 
 
 def load_new_samples(sample_schema: T.StructType):
@@ -200,8 +201,9 @@ def load_new_samples(sample_schema: T.StructType):
     stored = T.StructType([*sample_schema.fields, T.StructField("day", T.DateType())])
 
     def handle(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
-        log = tables.read_all("sample_log", stored, before=batch_id)
-        tables.add("sample_log", st.load_samples(log, rows, "day"), batch_id, partition_by=["day"])
+        log = st.log_of_days(tables.read_all("sample_log", stored, before=batch_id), rows)
+        fresh = st.load_samples(log, rows).withColumn("day", F.to_date("sample_time"))
+        tables.add("sample_log", fresh, batch_id, partition_by=["day"])
 
     return handle
 
