@@ -107,6 +107,13 @@ def attach_session(rows: DataFrame, sessions: DataFrame, time: str | None = None
     return rows.join(side, on, "inner").drop("__node", "__pid", "__from", "__to", "__day")
 
 
+def samples_of(samples: DataFrame, requests: DataFrame, key: str = "rr_uuid") -> DataFrame:
+    """Samples of a selection of requests, before anything is grouped. For selections that are few compared to the
+    samples: the ids are then sent to the samples and nothing else moves."""
+    wanted = renamed_keys(requests, [key]).distinct()
+    return samples.join(wanted, samples["root_request_id"] == wanted[f"__k_{key}"], "left_semi")
+
+
 def resolve_server(hosts: DataFrame, live: DataFrame, master: DataFrame) -> DataFrame:
     """Server id of each host: from the live list, else from the recorded servers."""
     live_ids = live.groupBy("host").agg(F.min("uuid").alias("__live"))

@@ -180,7 +180,7 @@ OPERATORS: dict[str, Query] = {
                               .select("sample_id", "wait_event_aux", "table_name")),
     "counter_delta": _on_data(lambda t: counter_delta(
         t.samples.select("sample_id", "host", "sample_time", "query_id"), ["host"], "sample_time",
-        {"query_id": "delta"}, ties=["sample_id"])),
+        {"query_id": "delta"}, unit="minute", ties=["sample_id"])),
     "rr_cardinalities": _on_data(lambda t: t.samples.groupBy("root_request_id").agg(
         F.count_distinct("top_level_node_id").alias("nodes"), F.count_distinct("pid").alias("pids"),
         F.count_distinct("query_id").alias("queries"), F.count_distinct("sample_time").alias("times"))),
@@ -232,6 +232,7 @@ STATE: dict[str, Query] = {
         t.known_tablets, st.track_replicas(t.known_replicas, t.local_tablets, AS_OF), AS_OF)),
     "load_samples": _on_data(lambda t: st.load_samples(*_sample_batches(t))),
     "upsert_events": _on_data(lambda t: st.upsert_events(t.known_events, t.exported_samples, AS_OF)),
+    "snapshot_header": _on_data(lambda t: collect.snapshot_header(t.snapshots, "node2", AS_OF)),
     "load_snapshot": _on_data(lambda t: _snapshot(t).append["tserver_log"].select(
         "snap_id", "tsrv_uuid", "host", "port", "status", "uptime_s", "mem_free_mb", "mem_total_mb", "ts_status")),
     "merge_metrics": _on_data(lambda t: _as_double(collect.merge_metrics(

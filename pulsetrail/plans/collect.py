@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import moment
+from ..functions import moment, whole_seconds
 from ..operators import state as st
 from ..operators.joins import kv_to_row, merge_columns, only_new
 from ..sources.tables import VersionedTables
@@ -131,6 +131,15 @@ def collect_events(events: DataFrame, samples: DataFrame, as_of) -> Collected:
     return Collected("events", {"event_mst": st.extended(events, found)}, {}, {"new": found})
 
 
+def snapshot_header(snapshots: DataFrame, host: str, as_of, minimum_age: int = 180) -> DataFrame:
+    """Header row of the next snapshot; none while the last one is younger than `minimum_age` seconds."""
+    last = snapshots.agg(F.max("id").alias("last_id"), F.max("log_dt").alias("last_dt"))
+    age = whole_seconds(F.col("last_dt"), moment(as_of))
+    return (last.filter(F.coalesce(age >= minimum_age, F.lit(True)))
+            .select((F.coalesce("last_id", F.lit(0)) + 1).alias("id"), moment(as_of).alias("log_dt"),
+                    F.lit(host).alias("log_host")))
+
+
 def first_seen(master: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """One row per unknown server: the listing of the earliest snapshot that shows it."""
     others = [c for c in ("snap_id", "host", "port") if c != key]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import millis_rounded, rr_key
 from ..operators.aggregates import merge_spans, span
 from ..operators.filters import BACKGROUND_PREFIX, foreground, lookback, no_ghosts, only_pid
-from ..operators.joins import attach_session, only_new
+from ..operators.joins import attach_session, only_new, samples_of
 
 
 def build_root_requests(samples: DataFrame, sessions: DataFrame, as_of, seconds: int = 3600,
@@ -36,8 +36,15 @@ def build_root_requests(samples: DataFrame, sessions: DataFrame, as_of, seconds:
     return out if known is None else only_new(out, known, ["sess_id", "rr_uuid"])
 
 
-def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Statements seen in each request, with first sample and duration in ms: rr_uuid, queryid, qurr_start_dt, dur_ms."""
+def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: DataFrame | None = None,
+                         few: bool = False) -> DataFrame:
+    """Statements seen in each request, with first sample and duration in ms: rr_uuid, queryid, qurr_start_dt, dur_ms.
+
+    By default all samples are folded before the requests select among the folds. With `few` requests (one
+    process, say) they select the samples first.
+    """
+    if few:
+        samples = samples_of(samples, root_requests)
     spans = span(samples.filter(F.col("query_id").isNotNull()), ["root_request_id", "query_id"],
                  "sample_time", "lo", "hi")
     requests = root_requests.select(F.col("rr_uuid").alias("__rr")).distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (clock, clock_ms, clock_ms_dashed, day_clock, millis_truncated, rr_key, seconds3)
 from ..operators.filters import lookback, only_pid, rr_like
-from ..operators.joins import attach_tablet, join_query
+from ..operators.joins import attach_tablet, join_query, samples_of
 from ..operators.windows import blank_repeat, neighbours
 from .derive import rr_view
 
@@ -95,7 +95,7 @@ def session_events(root_requests: DataFrame, samples: DataFrame, tablets: DataFr
     rows = (rows.join(requests, rows["root_request_id"] == requests["rr_uuid"], "inner"))
     rows = rows.join(known, rows["query_id"] == known["__q"], "left_semi")
     rows = attach_tablet(rows, tablets, "left")
-    rows = neighbours(rows, ["sess_id"], "sample_time", ["sample_id"], before={"rr_uuid": "rr_before"})
+    rows = neighbours(rows, ["sess_id"], "sample_time", ["sample_id"], before={"rr_uuid": "rr_before"}, unit="minute")
     shown = blank_repeat("rr_uuid", "rr_before", F.substring("rr_uuid", 1, 8))
     mark = F.when(F.col("rpc_request_id") == 0, F.col("host")).otherwise(F.concat(F.lit(" L "), F.col("host")))
     return (rows.orderBy("session_pid", "sess_id", "sample_time", "sample_id")
@@ -144,6 +144,7 @@ def query_rrs(queries: DataFrame, links: DataFrame, root_requests: DataFrame, sa
     """Requests of a statement. `cnt_ash` counts all samples of the request, whatever statement they belong to."""
     if queryid is not None:
         queries, links = queries.filter(F.col("queryid") == queryid), links.filter(F.col("queryid") == queryid)
+        samples = samples_of(samples, links)
     recent = lookback(root_requests, "rr_min_dt", as_of, seconds).select("rr_uuid", "rr_min_dt", "rr_max_dt")
     sizes = samples.groupBy("root_request_id").agg(F.count(F.lit(1)).alias("cnt_ash"))
     found = recent.join(sizes, recent["rr_uuid"] == sizes["root_request_id"], "inner").drop("root_request_id")

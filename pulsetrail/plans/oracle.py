@@ -585,6 +585,9 @@ QUERIES = {
                'first found on: '||arg_min(host, (sample_time, host))||', at: 2024-01-31 00:00:00' AS wait_event_notes
         FROM exported e WHERE NOT EXISTS (SELECT 1 FROM known_events k WHERE k.wait_event_component = e.wait_event_component
           AND k.wait_event = e.wait_event) GROUP BY 1, 2""",
+    "snapshot_header": f"""
+        SELECT coalesce(max(id), 0) + 1 AS id, {AS_OF} AS log_dt, 'node2' AS log_host FROM snapshots
+        HAVING datediff('microsecond', max(log_dt), {AS_OF}) // 1000000 >= 180""",
     "load_snapshot": """
         SELECT l.snap_id, l.tsrv_uuid, host, CAST(9100 AS INTEGER) AS port, 'ALIVE' AS status, l.snap_id * 86400 AS uptime_s,
                mem_free_mb, mem_total_mb, ts_status FROM tserver_log l JOIN metrics USING (snap_id, tsrv_uuid)""",

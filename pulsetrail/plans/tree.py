@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock_ms, clock_ms_colon, left_pad, right_pad
 from ..operators.filters import only_pid
-from ..operators.joins import attach_tablet, join_query
+from ..operators.joins import attach_tablet, join_query, renamed_keys, samples_of
 from ..operators.windows import ordinal
 
 # Sort key of a line. `section` orders header / statements / closing inside a request, `part` inside a statement.
@@ -42,12 +42,19 @@ def _requests(root_requests: DataFrame, sessions: DataFrame, pid: int | None) ->
     return root_requests.join(owner, root_requests["sess_id"] == owner["__sess"], "inner").drop("__sess")
 
 
+def _links_of(links: DataFrame, requests: DataFrame) -> DataFrame:
+    wanted = renamed_keys(requests, ["rr_uuid"]).distinct()
+    return links.join(wanted, links["rr_uuid"] == wanted["__k_rr_uuid"], "left_semi")
+
+
 def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, samples: DataFrame,
                tablets: DataFrame, sessions: DataFrame, pid: int | None = None) -> DataFrame:
     """Lines of the tree for one process id, or for every one. Columns: the sort key and `output`."""
     requests = _requests(root_requests, sessions, pid)
     numbered = ordinal(requests, ["pid"], "rr_min_dt", ["rr_uuid", "sess_id"], "rr_no")
     short = F.substring("rr_uuid", 1, 2)
+    if pid is not None:
+        samples, links = samples_of(samples, requests), _links_of(links, requests)
     labelled = join_query(links, queries, "queryid")
 
     # statements of each request, with the number of samples they have there

@@ -47,47 +47,44 @@ def _null(kind: T.DataType) -> Column:
     return F.lit(None).cast("timestamp_ntz" if isinstance(kind, T.TimestampType) else kind)
 
 
-def _pick(column: Column, mapping: dict[str, str], default: str | None = None) -> Column:
-    out = None
-    for key, value in mapping.items():
-        out = F.when(column == key, value) if out is None else out.when(column == key, value)
-    return out if default is None else out.otherwise(default)
+def _uuid_sql(seed: str) -> str:
+    text = f"md5({seed})"
+    for position in (21, 17, 13, 9):
+        text = f"overlay({text} PLACING '-' FROM {position} FOR 0)"
+    return text
+
+
+# One SQL projection: the view is rebuilt for every query, and this costs one call instead of a hundred.
+_SAMPLE_COLUMNS = [
+    "event_id AS sample_id",
+    "ts AS sample_time",
+    "concat('node', CAST(event_id % 4 + 2 AS STRING)) AS host",
+    _uuid_sql("concat('tsrv|', CAST(event_id % 4 + 2 AS STRING))") + " AS tsrv_uuid",
+    "CASE WHEN query_id <= 7 THEN '00000000-0000-0000-0000-000000000000' ELSE "
+    + _uuid_sql("concat(CAST(user_id AS STRING), '|', CAST(to_date(ts) AS STRING))") + " END AS root_request_id",
+    "CASE WHEN event_id % 3 <> 0 THEN event_id % 5 END AS rpc_request_id",
+    "CASE WHEN event_type = 'signup' THEN 'SQL' ELSE 'TServer' END AS wait_event_component",
+    "CASE WHEN event_type IN ('click', 'view') THEN 'Common' WHEN event_type IN ('purchase', 'error') THEN 'TabletWait'"
+    " WHEN event_type = 'signup' THEN 'Client' END AS wait_event_class",
+    "CASE event_type WHEN 'click' THEN 'Cpu' WHEN 'view' THEN 'Cpu' WHEN 'purchase' THEN 'DiskIO'"
+    " WHEN 'signup' THEN 'Client' WHEN 'error' THEN 'Timeout' END AS wait_event_type",
+    "CASE event_type WHEN 'click' THEN 'OnCpu_Active' WHEN 'view' THEN 'OnCpu_Passive' WHEN 'purchase' THEN 'WAL_Sync'"
+    " WHEN 'signup' THEN 'ClientRead' WHEN 'error' THEN 'Extension' END AS wait_event",
+    "CASE WHEN event_id % 4 <> 0 THEN left(md5(concat('tblt|', CAST(event_id % 50 + 1 AS STRING))), 15) END"
+    " AS wait_event_aux",
+    _uuid_sql("concat('tsrv|', CAST(user_id % 4 + 2 AS STRING))") + " AS top_level_node_id",
+    "query_id",
+    "user_id + 1000 AS pid",
+    "concat('10.0.0.', CAST(user_id AS STRING), ':', CAST(user_id + 5000 AS STRING)) AS client_node_ip",
+    "value AS sample_weight",
+    "user_id % 3 + 13515 AS dbid",
+]
 
 
 def samples_from_events(events: DataFrame) -> DataFrame:
     """Sample rows as a sampler would export them (rpc id may be NULL). Works on a stream too."""
-    kind, user = F.col("event_type"), F.col("user_id")
-    user_text = user.cast("string")
-    return (
-        events
-        .withColumn("query_id", F.get_json_object("props", "$.k").cast("long"))
-        .select(
-            F.col("event_id").alias("sample_id"),
-            F.col("ts").alias("sample_time"),
-            node_name(F.col("event_id") % 4 + 2).alias("host"),
-            node_uuid(F.col("event_id") % 4 + 2).alias("tsrv_uuid"),
-            F.when(F.col("query_id") <= 7, "00000000-0000-0000-0000-000000000000")
-             .otherwise(dashed_uuid(F.concat(user_text, F.lit("|"), F.to_date("ts").cast("string"))))
-             .alias("root_request_id"),
-            F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 5).alias("rpc_request_id"),
-            F.when(kind == "signup", "SQL").otherwise("TServer").alias("wait_event_component"),
-            _pick(kind, {"click": "Common", "view": "Common", "purchase": "TabletWait", "error": "TabletWait",
-                         "signup": "Client"}).alias("wait_event_class"),
-            _pick(kind, {"click": "Cpu", "view": "Cpu", "purchase": "DiskIO", "signup": "Client",
-                         "error": "Timeout"}).alias("wait_event_type"),
-            _pick(kind, {"click": "OnCpu_Active", "view": "OnCpu_Passive", "purchase": "WAL_Sync",
-                         "signup": "ClientRead", "error": "Extension"}).alias("wait_event"),
-            F.when(F.col("event_id") % 4 != 0,
-                   F.substring(F.md5(F.concat(F.lit("tblt|"), (F.col("event_id") % 50 + 1).cast("string"))), 1, 15))
-             .alias("wait_event_aux"),
-            node_uuid(user % 4 + 2).alias("top_level_node_id"),
-            "query_id",
-            (user + 1000).alias("pid"),
-            F.concat(F.lit("10.0.0."), user_text, F.lit(":"), (user + 5000).cast("string")).alias("client_node_ip"),
-            F.col("value").alias("sample_weight"),
-            (user % 3 + 13515).alias("dbid"),
-        )
-    )
+    keyed = events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS query_id")
+    return keyed.selectExpr(*_SAMPLE_COLUMNS)
 
 
 class TestData:

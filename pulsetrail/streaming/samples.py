@@ -45,11 +45,19 @@ def zoned(samples: DataFrame) -> DataFrame:
     return samples.withColumn("sample_time", F.col("sample_time").cast("timestamp"))
 
 
-def deduplicated(samples: DataFrame, horizon: str = HORIZON) -> DataFrame:
+def deduplicated(samples: DataFrame, horizon: str = HORIZON, spread: int = 16) -> DataFrame:
     """Samples once per natural key; a copy arriving within the horizon is dropped. Noise is dropped first and
-    a missing call id counts as 0."""
+    a missing call id counts as 0.
+
+    A stream cannot drop copies before its shuffle, so a sample copied very often would load one task. Copies
+    are first dropped per (key, part of the input) and only what is left, at most `spread` rows per key, per key.
+    """
     rows = drop_noise(samples).withColumn("rpc_request_id", F.coalesce("rpc_request_id", F.lit(0).cast("long")))
-    return zoned(rows).withWatermark("sample_time", horizon).dropDuplicatesWithinWatermark(st.SAMPLE_KEY)
+    rows = zoned(rows).withWatermark("sample_time", horizon)
+    if spread > 1:
+        rows = rows.withColumn("__part", F.floor(F.rand() * spread).cast("int"))
+        rows = rows.dropDuplicatesWithinWatermark([*st.SAMPLE_KEY, "__part"]).drop("__part")
+    return rows.dropDuplicatesWithinWatermark(st.SAMPLE_KEY)
 
 
 def minute_host_counts(samples: DataFrame, horizon: str = HORIZON) -> DataFrame:

@@ -129,6 +129,20 @@ def test_freshness_without_a_snapshot(data):
     assert dashboards.snapshot_freshness(t.snapshots, "2024-01-30 00:02:59").first().nogo is True
 
 
+def test_few_requests_give_the_same_links(data):
+    t, rr, links, first = data
+    one = rr.filter(f"sess_id = {first.sess_id}")
+    few = derive.build_rr_query_links(one, t.samples, few=True)
+    assert few.count() and sorted(few.collect()) == sorted(derive.build_rr_query_links(one, t.samples).collect())
+
+
+def test_snapshot_header_waits_for_its_age(data):
+    t, *_ = data
+    assert collect.snapshot_header(t.snapshots, "node2", "2024-01-30 00:02:59").count() == 0
+    assert collect.snapshot_header(t.snapshots, "node2", "2024-01-30 00:03:00").first().id == 31
+    assert collect.snapshot_header(t.snapshots.limit(0), "node2", AS_OF).first().id == 1
+
+
 def test_collectors_write_what_they_count(data, spark, tmp_path):
     t, *_ = data
     store = VersionedTables(spark, str(tmp_path))
