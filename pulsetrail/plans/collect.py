@@ -1,7 +1,7 @@
 """Collection jobs: compositions of the state operators, each giving its tables and its counts.
 
-A job is lazy. `Collected.counts` reports rows per step as a DataFrame; `commit` writes the tables, counting the
-written rows on the way (observed metrics, no second pass), and appends a row to the run log.
+A job is lazy. `Collected.counts` reports rows per step as a DataFrame; `commit` writes the tables, counts what was
+written from the file footers, and appends a row to the run log.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import moment, whole_seconds
@@ -33,6 +33,7 @@ class Collected:
     replace: dict[str, DataFrame] = field(default_factory=dict)
     append: dict[str, DataFrame] = field(default_factory=dict)
     steps: dict[str, DataFrame] = field(default_factory=dict)
+    partitions: dict[str, list[str]] = field(default_factory=dict)
 
     def counts(self) -> DataFrame:
         """component, step, n_rows."""
@@ -56,11 +57,12 @@ def run_log_row(spark: SparkSession, component: str, host: str, logged_dt, ela_m
 def commit(result: Collected, tables: VersionedTables, host: str, as_of, batch: int | None = None) -> dict[str, int]:
     """Write a job's tables and its run-log row; returns the rows written per table."""
     started, written = time.monotonic(), {}
-    for write, frames in ((tables.replace, result.replace), (tables.add, result.append)):
-        for name, df in frames.items():
-            seen = Observation(name)
-            write(name, df.observe(seen, F.count(F.lit(1)).alias("n")), batch)
-            written[name] = seen.get["n"]
+    for name, df in [*result.replace.items(), *result.append.items()]:
+        if name in result.replace:
+            path = tables.version_path(name, tables.replace(name, df, batch))
+        else:
+            path = tables.batch_path(name, tables.add(name, df, batch, result.partitions.get(name, ())))
+        written[name] = tables.spark.read.schema(df.schema).parquet(path).count()
     elapsed = (time.monotonic() - started) * 1000
     tables.add("run_log", run_log_row(tables.spark, result.component, host, as_of, elapsed, written), None)
     return written

@@ -23,15 +23,20 @@ def scan(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.schema(INPUTS.get(name) or TABLES[name]).parquet(path)
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by output partition, in files of even size: a large partition is split over tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Append rows and hand them back."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     return df
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Empty and refill. With `partition_by`, only the partitions present in `df` are replaced."""
-    writer = df.write.mode("overwrite")
+    writer = rebalanced(df, partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
@@ -53,6 +58,12 @@ class VersionedTables:
         self._manifest = f"{self.root}/_manifest_log"
         spark.createDataFrame([], self._MANIFEST).write.mode("ignore").parquet(self._manifest)
 
+    def version_path(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/v={version}"
+
+    def batch_path(self, name: str, batch: int) -> str:
+        return f"{self.root}/{name}/batch={batch}"
+
     def _commit(self, name: str, version: int) -> None:
         (self.spark.createDataFrame([(name, version)], self._MANIFEST).coalesce(1)
          .write.mode("append").parquet(self._manifest))
@@ -68,14 +79,14 @@ class VersionedTables:
         version = self.latest(name, before)
         if version is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/v={version}")
+        return self.spark.read.schema(schema).parquet(self.version_path(name, version))
 
     def replace(self, name: str, df: DataFrame, version: int | None = None) -> int:
         """Write the whole table as a new version. The version read stays in place until readers are done."""
         if version is None:
             latest = self.latest(name)
             version = 0 if latest is None else latest + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={version}")
+        df.write.mode("overwrite").parquet(self.version_path(name, version))
         self._commit(name, version)
         return version
 
@@ -84,7 +95,8 @@ class VersionedTables:
         if batch is None:
             latest = self.latest(name)
             batch = 0 if latest is None else latest + 1
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{name}/batch={batch}")
+        rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(
+            self.batch_path(name, batch))
         self._commit(name, batch)
         return batch
 
