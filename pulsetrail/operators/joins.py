@@ -31,6 +31,20 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return condition
 
 
+def splittable(left: DataFrame, right: DataFrame, pairs: dict[str, str]):
+    """Equality of non-NULL keys, for a right side that was grouped by them.
+
+    Adaptive execution splits a hot key only where both sides come straight from a shuffle. Plain equality would
+    reuse the grouping's layout for the right side and rule that out; the NULL-safe form shuffles the right side,
+    one row per key, once more. Callers make sure the right keys are not NULL, so NULL matches nothing.
+    """
+    condition = None
+    for mine, theirs in pairs.items():
+        test = left[mine].eqNullSafe(right[theirs])
+        condition = test if condition is None else condition & test
+    return condition
+
+
 def only_new(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `new` whose key is not in `old`; NULL keys compare equal, so a re-run adds nothing."""
     known = renamed_keys(old, keys).distinct()
@@ -63,7 +77,7 @@ def join_query(df: DataFrame, queries: DataFrame, key: str = "query_id", length:
 
 def table_by_prefix(tablets: DataFrame) -> DataFrame:
     """One table name per tablet prefix, also when a tablet left and came back."""
-    return (tablets.groupBy(hex_prefix(F.col("tblt_uuid")).alias("tblt_prefix"))
+    return (tablets.filter(F.col("tblt_uuid").isNotNull()).groupBy(hex_prefix(F.col("tblt_uuid")).alias("tblt_prefix"))
             .agg(F.min("table_name").alias("table_name")))
 
 
@@ -75,11 +89,11 @@ def attach_tablet(samples: DataFrame, tablets: DataFrame, how: str = "left") ->
     """
     names = table_by_prefix(tablets)
     if how == "inner":
-        joined = samples.join(names, samples["wait_event_aux"] == names["tblt_prefix"], "inner")
+        joined = samples.join(names, splittable(samples, names, {"wait_event_aux": "tblt_prefix"}), "inner")
         return joined.drop("tblt_prefix")
     spread = F.pmod(F.xxhash64("sample_time", "pid", "host"), F.lit(NULL_SPREAD)).cast("string")
     keyed = samples.withColumn("__aux_key", F.coalesce("wait_event_aux", F.concat(F.lit("no aux "), spread)))
-    joined = keyed.join(names, keyed["__aux_key"] == names["tblt_prefix"], "left")
+    joined = keyed.join(names, splittable(keyed, names, {"__aux_key": "tblt_prefix"}), "left")
     return joined.drop("__aux_key", "tblt_prefix")
 
 
@@ -110,8 +124,8 @@ def attach_session(rows: DataFrame, sessions: DataFrame, time: str | None = None
 def samples_of(samples: DataFrame, requests: DataFrame, key: str = "rr_uuid") -> DataFrame:
     """Samples of a selection of requests, before anything is grouped. For selections that are few compared to the
     samples: the ids are then sent to the samples and nothing else moves."""
-    wanted = renamed_keys(requests, [key]).distinct()
-    return samples.join(wanted, samples["root_request_id"] == wanted[f"__k_{key}"], "left_semi")
+    wanted = renamed_keys(requests.filter(F.col(key).isNotNull()), [key]).distinct()
+    return samples.join(wanted, splittable(samples, wanted, {"root_request_id": f"__k_{key}"}), "left_semi")
 
 
 def resolve_server(hosts: DataFrame, live: DataFrame, master: DataFrame) -> DataFrame:

@@ -47,8 +47,7 @@ def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: Da
         samples = samples_of(samples, root_requests)
     spans = span(samples.filter(F.col("query_id").isNotNull()), ["root_request_id", "query_id"],
                  "sample_time", "lo", "hi")
-    requests = root_requests.select(F.col("rr_uuid").alias("__rr")).distinct()
-    out = (spans.join(requests, spans["root_request_id"] == requests["__rr"], "left_semi")
+    out = (samples_of(spans, root_requests)
            .select(F.col("root_request_id").alias("rr_uuid"), F.col("query_id").alias("queryid"),
                    F.col("lo").alias("qurr_start_dt"), millis_rounded(F.col("lo"), F.col("hi")).alias("dur_ms")))
     return out if known is None else only_new(out, known, ["rr_uuid", "queryid"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (clock, clock_ms, clock_ms_dashed, day_clock, millis_truncated, rr_key, seconds3)
 from ..operators.filters import lookback, only_pid, rr_like
-from ..operators.joins import attach_tablet, join_query, samples_of
+from ..operators.joins import attach_tablet, join_query, samples_of, splittable
 from ..operators.windows import blank_repeat, neighbours
 from .derive import rr_view
 
@@ -151,7 +151,7 @@ def query_rrs(queries: DataFrame, links: DataFrame, root_requests: DataFrame, sa
     known = queries.select(F.col("queryid").alias("__q"))
     used = (links.join(known, links["queryid"] == known["__q"], "left_semi")
             .select("queryid", F.col("rr_uuid").alias("__rr")))
-    return (used.join(found, used["__rr"] == found["rr_uuid"], "inner")
+    return (used.join(found, splittable(used, found, {"__rr": "rr_uuid"}), "inner")
             .orderBy("queryid", "rr_min_dt", "rr_uuid")
             .select("queryid", F.substring("rr_uuid", 1, 8).alias("root_req"), rr_key(F.col("rr_uuid")).alias("rr_id"),
                     clock_ms(F.col("rr_min_dt")).alias("st_time"),

@@ -41,10 +41,13 @@ def interval_report(h: History, as_of, seconds_ago: int = 900, length: int = 900
 
 def session_report(h: History, pid: int, as_of, seconds: int = 3600, temporal: bool = False) -> dict[str, DataFrame]:
     """One process: its session, requests, statements, samples and the event tree. Requests are derived for this
-    process only; they and their links are kept in memory or on disk while the parts are read."""
+    process only; they and their links are persisted while the parts are read. Unpersist `root_requests` and `links`
+    when done."""
     rr = derive.build_root_requests(h.samples, h.sessions, as_of, seconds, pid=pid, temporal=temporal).persist()
     links = derive.build_rr_query_links(rr, h.samples, few=True).persist()
     return {
+        "root_requests": rr,
+        "links": links,
         "session_info": drilldown.session_info(h.sessions, pid),
         "session_rr": drilldown.session_rr(rr, h.sessions, pid),
         "session_queries": drilldown.session_queries(rr, links, h.queries, h.sessions, pid),

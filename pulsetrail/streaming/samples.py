@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,14 @@ def activity_bursts(samples: DataFrame, gap: str = "10 minutes", horizon: str =
             .select("top_level_node_id", "pid", "first_seen", "last_seen", "cnt"))
 
 
+def before_newest(df: DataFrame, column: str, span: dt.timedelta) -> Column:
+    """The newest moment of a column minus a time span, as a literal. The moment travels as text, so neither the
+    driver's time zone nor the column's timestamp type matters."""
+    text = df.agg(F.max(column).cast("string")).first()[0]
+    newest = F.lit(text).cast(df.schema[column].dataType)
+    return newest - F.make_dt_interval(secs=F.lit(span.total_seconds()).cast("decimal(18,6)"))
+
+
 def run_to_parquet(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append-mode stream over everything available, then read back what it wrote."""
     spark = stream.sparkSession
@@ -176,8 +184,7 @@ def track_lifetimes(timeout_seconds: int):
                   .agg(F.min("sample_time").alias("opened"), F.max("sample_time").alias("last_seen")).drop("m"))
         known = tables.read("open_life", LIFE_SCHEMA, before=batch_id)
         merged = lifetimes(known.unionByName(pieces), timeout_seconds).persist()
-        newest = merged.agg(F.max("last_seen")).first()[0]  # one timestamp, back as a literal
-        limit = F.lit(newest - dt.timedelta(seconds=timeout_seconds) if newest else None).cast("timestamp_ntz")
+        limit = before_newest(merged, "last_seen", dt.timedelta(seconds=timeout_seconds))
         closed = F.coalesce(F.col("last_seen") <= limit, F.lit(False))
         tables.add("closed_life", merged.filter(closed), batch_id)
         tables.replace("open_life", merged.filter(~closed), batch_id)
@@ -223,13 +230,12 @@ def split_late(horizon: dt.timedelta, schema: T.StructType):
     """Handler: rows older than the horizon, measured from the newest sample seen so far, go to a side table."""
 
     def handle(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
-        # one timestamp per batch comes to the driver and goes back as a literal
         before = tables.read("newest", NEWEST_SCHEMA, before=batch_id)
-        newest = before.unionByName(rows.select(F.col("sample_time").alias("newest"))).agg(F.max("newest")).first()[0]
-        limit = F.lit(newest - horizon).cast("timestamp_ntz") if newest is not None else F.lit(None)
+        newest = before.unionByName(rows.select(F.col("sample_time").alias("newest"))).agg(F.max("newest").alias("newest"))
+        tables.replace("newest", newest, batch_id)
+        limit = before_newest(tables.read("newest", NEWEST_SCHEMA, before=batch_id + 1), "newest", horizon)
         late = F.coalesce(F.col("sample_time") < limit, F.lit(False))
         tables.add("late", rows.filter(late), batch_id)
         tables.add("on_time", rows.filter(~late), batch_id)
-        tables.replace("newest", rows.sparkSession.createDataFrame([(newest,)], NEWEST_SCHEMA), batch_id)
 
     return handle
