@@ -86,15 +86,20 @@ def collect_queries(queries: DataFrame, log: DataFrame, samples: DataFrame, acti
                       "filled": state.filter(st.blank_recent(state, as_of, 3600)), "log": changed})
 
 
-def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFrame, as_of) -> Collected:
+def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFrame, as_of,
+                     gone: DataFrame | None = None) -> Collected:
     """Open, guess from samples, close, log: in this order. Guessed sessions are not in the export, so they are
-    closed in the same run and only re-open once an export confirms them."""
+    closed in the same run and only re-open once an export confirms them.
+
+    With closed sessions kept apart in `gone`, `sessions` holds the open ones only: they alone are rewritten.
+    """
+    whole = lambda part: part if gone is None else part.unionByName(gone)
     opened = st.open_sessions(sessions, activity)
     with_open = st.extended(sessions, opened)
-    ghosts = st.ghost_sessions(with_open, samples)
+    ghosts = st.ghost_sessions(whole(with_open), samples)
     with_ghosts = st.extended(with_open, ghosts)
     state = st.close_sessions(with_ghosts, activity, as_of)
-    log = st.log_sessions(activity, state, as_of)
+    log = st.log_sessions(activity, whole(state), as_of)
     closed = state.filter(F.col("gone_dt") == moment(as_of))
     return Collected("sessions", {"session_mst": state}, {"session_log": log},
                      {"activity": opened, "samples": ghosts, "closed": closed, "log": log})

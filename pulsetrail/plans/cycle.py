@@ -1,4 +1,9 @@
-"""One collection cycle: every export into its history tables, in the order the tables depend on each other."""
+"""One collection cycle: every export into its history tables, in the order the tables depend on each other.
+
+Rows of validity tables never change once closed. They are kept in two parts: the open rows, rewritten by each
+cycle, and the closed ones, to which each cycle appends what it closed. A cycle writes what is alive or new, not
+the history; `validity_table` reads both parts as one.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +26,27 @@ _NUMBERED = {"database_log": ["datid", "log_host", "log_dt"], "query_log": [*st.
 SAMPLE_LOG = T.StructType([*TABLES["sample_log"].fields, T.StructField("day", T.DateType())])
 
 
+VALIDITY = ["session_mst", "tablet_mst", "tablet_rep"]
+
+
+def _closed(tables: VersionedTables, name: str) -> DataFrame:
+    return tables.read_all(f"{name}_closed", TABLES[name])
+
+
+def validity_table(tables: VersionedTables, name: str) -> DataFrame:
+    """Open and closed rows of a session, tablet or replica table."""
+    return tables.read(name, TABLES[name]).unionByName(_closed(tables, name))
+
+
+def split_closed(result: collect.Collected) -> None:
+    """Let closed rows be appended instead of rewritten. The job saw open rows only, so these are new."""
+    for name in VALIDITY:
+        if name in result.replace:
+            state = result.replace[name]
+            result.replace[name] = state.filter(F.col("gone_dt").isNull())
+            result.append[f"{name}_closed"] = state.filter(F.col("gone_dt").isNotNull())
+
+
 @dataclass
 class Exports:
     """The exported statistics of one collection. Each frame carries `host` and `tsrv_uuid`."""
@@ -35,7 +61,7 @@ class Exports:
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Columns and types as declared for the table, NULL where the job has no value."""
-    schema = SAMPLE_LOG if name == "sample_log" else TABLES[name]
+    schema = SAMPLE_LOG if name == "sample_log" else TABLES[name.removesuffix("_closed")]
     if name in _NUMBERED:
         df = st.with_key(df, _NUMBERED[name])
     if name == "sample_log":
@@ -66,7 +92,8 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of) -> di
     jobs = [
         lambda: collect.collect_databases(read("database_mst"), exports.databases, as_of),
         lambda: collect.collect_tablets(read("tablet_mst"), read("tablet_rep"), exports.local_tablets, as_of),
-        lambda: collect.collect_sessions(read("session_mst"), exports.activity, exports.samples, as_of),
+        lambda: collect.collect_sessions(read("session_mst"), exports.activity, exports.samples, as_of,
+                                         _closed(tables, "session_mst")),
         lambda: collect.collect_queries(_queries(tables, as_of), tables.read_all("query_log", TABLES["query_log"]),
                                         exports.samples, exports.activity, exports.statements, as_of),
         samples,
@@ -77,6 +104,7 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of) -> di
     written = {}
     for job in jobs:
         result = job()
+        split_closed(result)
         result.replace = {name: conform(df, name) for name, df in result.replace.items()}
         result.append = {name: conform(df, name) for name, df in result.append.items()}
         written[result.component] = collect.commit(result, tables, host, as_of)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsetrail.plans import catalog
-from pulsetrail.plans.cycle import SAMPLE_LOG, Exports, run_cycle
+from pulsetrail.plans.cycle import SAMPLE_LOG, Exports, run_cycle, validity_table
 from pulsetrail.plans.reports import History, interval_report, query_report, rr_report, session_report
 from pulsetrail.schemas import TABLES
 from pulsetrail.sources.tables import VersionedTables
@@ -40,6 +40,8 @@ def test_a_repeated_cycle_only_adds_snapshots(cycles):
         for table, rows in third[job].items():
             if table.endswith(("_mst", "_rep")):
                 assert rows == second[job][table]
+            if table.endswith("_closed"):
+                assert rows == 0
     assert third["queries"]["query_log"] == 0
     assert third["databases"]["database_log"] == second["databases"]["database_log"] > 0
 
@@ -53,8 +55,10 @@ def test_seeds_and_filled_texts(cycles):
 
 def test_open_sessions_are_those_of_the_export(cycles):
     t, store, _ = cycles
-    alive = store.read("session_mst", TABLES["session_mst"]).filter("gone_dt IS NULL")
+    whole, alive = validity_table(store, "session_mst"), store.read("session_mst", TABLES["session_mst"])
     assert alive.filter("usesysid IS NOT NULL").count() == t.activity.count()
+    assert whole.filter("gone_dt IS NULL").count() == alive.count() < whole.count()
+    assert whole.count() == whole.select("tsrv_uuid", "pid", "backend_start").distinct().count()
     assert store.read_all("session_log", TABLES["session_log"]).select("sess_id").distinct().count() == t.activity.count()
 
 
