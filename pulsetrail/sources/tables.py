@@ -56,7 +56,10 @@ class VersionedTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._manifest = f"{self.root}/_manifest_log"
-        spark.createDataFrame([], self._MANIFEST).write.mode("ignore").parquet(self._manifest)
+        self._entry("", -1).limit(0).write.mode("ignore").parquet(self._manifest)
+
+    def _entry(self, name: str, version: int) -> DataFrame:
+        return self.spark.range(0, 1, 1, 1).select(F.lit(name).alias("table"), F.lit(version).cast("long").alias("version"))
 
     def version_path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
@@ -65,8 +68,7 @@ class VersionedTables:
         return f"{self.root}/{name}/batch={batch}"
 
     def _commit(self, name: str, version: int) -> None:
-        (self.spark.createDataFrame([(name, version)], self._MANIFEST).coalesce(1)
-         .write.mode("append").parquet(self._manifest))
+        self._entry(name, version).write.mode("append").parquet(self._manifest)
 
     def latest(self, name: str, before: int | None = None) -> int | None:
         done = self.spark.read.schema(self._MANIFEST).parquet(self._manifest).filter(F.col("table") == name)
