@@ -198,10 +198,6 @@ def _as_double(df: DataFrame) -> DataFrame:
 
 # ---- incremental table operators and collectors -----------------------------------------------------------
 
-def _new_sessions(t: TestData) -> DataFrame:
-    return st.extended(t.known_sessions, st.open_sessions(t.known_sessions, t.activity))
-
-
 def _sample_batches(t: TestData) -> tuple[DataFrame, DataFrame]:
     """A log holding everything up to the overlap, and an export from the cut on."""
     first = t.exported_samples.filter(F.col("sample_time") < moment(OVERLAP))
