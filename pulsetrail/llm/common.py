@@ -65,6 +65,14 @@ def to_arrow(schema):
     return to_arrow_schema(schema)
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on a key without nulls of a right side that was grouped by it. The null-safe form shuffles the right side
+    once more, so that both sides come straight from a shuffle and adaptive execution may split a hot key."""
+    named = right.withColumnRenamed(key, f"{key}_right")
+    out = left.join(named, F.col(key).eqNullSafe(F.col(f"{key}_right")), how)
+    return out if how == "left_semi" else out.drop(f"{key}_right")
+
+
 def worded(text: Column) -> Column:
     """Words of a text, `[^\\x20\\x09-\\x0D]+`; null and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsetrail.llm import bpe, decontaminate, langid, pii, quality, toxicity
+from pulsetrail.llm import bpe, decontaminate, langid, licenses, pii, quality, simhash, toxicity, urls
 from pulsetrail.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": lambda s, d: pii.report(table(s, d, "documents")),
     "op6_bpe": lambda s, d: bpe.digests(table(s, d, "documents"), public_tokenizers.path(VOCABULARY),
                                         public_tokenizers.PATTERN),
+    "op7_url_templates": lambda s, d: urls.report(table(s, d, "pages")),
+    "op8_simhash": lambda s, d: simhash.report(table(s, d, "documents")),
+    "op9_licenses": lambda s, d: licenses.report(table(s, d, "documents")),
     "op10_quality": lambda s, d: quality.report(table(s, d, "documents"), table(s, d, "labels")),
 }
 
