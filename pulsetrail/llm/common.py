@@ -55,6 +55,11 @@ def scan(df: DataFrame, start: Callable[[], Callable[[list], list[tuple]]], sche
     return df.select(*[quoted(c) for c in dict.fromkeys([*kept, text])]).mapInArrow(run, out)
 
 
+def wrapped(docs: DataFrame, *beside: str) -> DataFrame:
+    """The whole row as the struct `row`, with some columns beside it: columns that an operator adds clash with none."""
+    return docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), *[quoted(c) for c in beside])
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -65,6 +70,17 @@ def to_arrow(schema):
     return to_arrow_schema(schema)
 
 
+def arrow_schema(columns: str) -> pa.Schema:
+    """Arrow form of `name type, ...`; workers have no Spark context that could parse it."""
+    plain = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary(),
+             "boolean": pa.bool_()}
+
+    def kind(name: str) -> pa.DataType:
+        return pa.list_(kind(name[6:-1])) if name.startswith("array<") else plain[name]
+
+    return pa.schema([(n, kind(t)) for n, t in (c.split(" ") for c in columns.split(", "))])
+
+
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on a key without nulls of a right side that was grouped by it. The null-safe form shuffles the right side
     once more, so that both sides come straight from a shuffle and adaptive execution may split a hot key."""

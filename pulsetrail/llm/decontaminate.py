@@ -17,7 +17,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import scan
+from pulsetrail.llm.common import scan, wrapped
 
 WINDOW = 10
 PART_BYTES = 32_000_000
@@ -152,4 +152,4 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any window of the benchmark, unchanged."""
-    return find(docs, benchmark).where(F.size("runs") == 0).select(*docs.columns)
+    return find(wrapped(docs, "text"), benchmark).where(F.size("runs") == 0).select("row.*")

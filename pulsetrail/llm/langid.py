@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import fold, scan
+from pulsetrail.llm.common import fold, scan, wrapped
 
 SAMPLE = 3000
 PER_LANGUAGE = 20_000
@@ -170,5 +170,5 @@ def keep(docs: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
     """The documents with a recognised language. Texts without letters, and texts of which even the likeliest language
     holds less than `min_cover` of the n-grams, go."""
     filters = fit(training(docs))
-    return judge(docs, filters, "text").where((F.col("lang_pred") != UNKNOWN) & (F.col("cover") >= min_cover)) \
-        .select(*docs.columns)
+    judged = judge(wrapped(docs, "text"), filters)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("cover") >= min_cover)).select("row.*")

@@ -14,7 +14,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import scan
+from pulsetrail.llm.common import scan, wrapped
 
 KINDS = ("email", "ip", "card", "phone", "url", "iban", "ssn", "account")
 BASE = KINDS[:4]
@@ -144,9 +144,8 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
 
         return lambda texts: [one(t) for t in texts]
 
-    if text == "redacted":
-        raise ValueError("the text column needs another name")
-    return scan(df, start, "redacted string", text).withColumn(text, F.col("redacted")).drop("redacted")
+    out = scan(wrapped(df, text), start, "redacted string", text)
+    return out.select(*[F.col("redacted").alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsetrail.llm import bpe, decontaminate, langid, licenses, pii, quality, simhash, toxicity, urls
+from pulsetrail.llm import bpe, decontaminate, katz, langid, licenses, pii, quality, simhash, toxicity, urls
 from pulsetrail.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": lambda s, d: toxicity.report(table(s, d, "documents"), table(s, d, "labels")),
     "op2_decontamination": lambda s, d: decontaminate.report(table(s, d, "documents"), table(s, d, "benchmark")),
     "op3_language": lambda s, d: langid.report(table(s, d, "documents")),
+    "op4_katz": lambda s, d: katz.report(table(s, d, "documents")),
     "op5_pii": lambda s, d: pii.report(table(s, d, "documents")),
     "op6_bpe": lambda s, d: bpe.digests(table(s, d, "documents"), public_tokenizers.path(VOCABULARY),
                                         public_tokenizers.PATTERN),

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import quoted, scan, spread_join
+from pulsetrail.llm.common import scan, spread_join, wrapped
 from pulsetrail.session import run_folder
 
 SHINGLE = 3
@@ -212,7 +212,6 @@ def one_each(docs: DataFrame) -> DataFrame:
             .agg(F.min(F.struct("fp", "doc_id")).alias("x")).select("root", "x.fp", F.col("x.doc_id").alias("keep_id")))
     spark, folder = docs.sparkSession, run_folder(docs.sparkSession, "simhash-kept")
     keep.write.parquet(folder)
-    # By the method's own column names, so that columns of the documents with such names pass through.
-    marked = fingerprints(docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), "text"))
-    stays = marked.drop("text").join(spark.read.parquet(folder), "fp").where(F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
+    marked = fingerprints(wrapped(docs, "text")).drop("text")
+    stays = marked.join(spark.read.parquet(folder), "fp").where(F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
     return stays.dropDuplicates(["root"]).select("row.*")
