@@ -41,10 +41,12 @@ def latest_snapshot(log: DataFrame, column: str = "snap_id") -> DataFrame:
 
 def crosstab(df: DataFrame, row: str, column: str, count: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Sums of `count` as rows x columns, NULL where a pair never occurs. With the column values given it is one
-    aggregation; without, the values are looked up first by an extra job."""
+    aggregation, and all other values go to the column `other`; without, the values are looked up by an extra job."""
     if columns is None:
         return df.groupBy(row).pivot(column).agg(F.sum(count))
-    return df.groupBy(row).agg(*[F.sum(F.when(F.col(column) == value, F.col(count))).alias(value) for value in columns])
+    rest = F.when(~F.coalesce(F.col(column).isin(*columns), F.lit(False)), F.col(count))
+    return df.groupBy(row).agg(*[F.sum(F.when(F.col(column) == value, F.col(count))).alias(value) for value in columns],
+                               F.sum(rest).alias("other"))
 
 
 def scalar_or_default(df: DataFrame, column: str, default: Column, name: str) -> DataFrame:

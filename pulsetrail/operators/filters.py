@@ -26,13 +26,20 @@ def interval_from_offsets(as_of: dt.datetime | str, seconds_ago: int = 900,
 
 
 def in_interval(df: DataFrame, start, end, column: str = "sample_time") -> DataFrame:
-    """Closed interval: both ends belong to it."""
-    return df.filter(F.col(column).between(moment(start), moment(end)))
+    """Closed interval: both ends belong to it. A log partitioned by day is only read for the interval's days."""
+    return _of_day(df, column, lambda day: day.between(F.to_date(moment(start)), F.to_date(moment(end)))).filter(
+        F.col(column).between(moment(start), moment(end)))
 
 
 def lookback(df: DataFrame, column: str, as_of, seconds: int) -> DataFrame:
     """Strictly newer than `as_of` minus `seconds`."""
-    return df.filter(F.col(column) > moment(parse_moment(as_of) - dt.timedelta(seconds=seconds)))
+    limit = moment(parse_moment(as_of) - dt.timedelta(seconds=seconds))
+    return _of_day(df, column, lambda day: day >= F.to_date(limit)).filter(F.col(column) > limit)
+
+
+def _of_day(df: DataFrame, column: str, test) -> DataFrame:
+    """Sample logs are partitioned by `day`, the date of the sample time."""
+    return df.filter(test(F.col("day"))) if column == "sample_time" and "day" in df.columns else df
 
 
 def foreground(df: DataFrame, prefix: str = BACKGROUND_PREFIX) -> DataFrame:

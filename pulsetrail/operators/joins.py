@@ -98,12 +98,12 @@ def attach_tablet(samples: DataFrame, tablets: DataFrame, how: str = "left") ->
 
 
 def attach_session(rows: DataFrame, sessions: DataFrame, time: str | None = None, as_of=None,
-                   columns: Sequence[str] = ("id",)) -> DataFrame:
+                   columns: Sequence[str] = ("id",), since=None) -> DataFrame:
     """Add session columns by (top-level node, process id).
 
     A process id is re-used over time. With `time`, a row only matches the session that was alive then. Sessions
     are listed once per day they lived, so one busy process id is spread over its days and a long history of
-    re-use is never compared row by row.
+    re-use is never compared row by row; days before `since` are left out.
     """
     carried = [c for c in columns]
     side = sessions.select(F.col("tsrv_uuid").alias("__node"), F.col("pid").cast("long").alias("__pid"),
@@ -112,9 +112,10 @@ def attach_session(rows: DataFrame, sessions: DataFrame, time: str | None = None
     on = (rows["top_level_node_id"] == side["__node"]) & (rows["pid"] == side["__pid"])
     if time is None:
         return rows.join(side, on, "inner").drop("__node", "__pid", "__from", "__to")
-    side = (side.withColumn("__to", F.coalesce("__to", moment(as_of)))
-            .filter(F.col("__from") <= F.col("__to"))
-            .withColumn("__day", F.explode(F.sequence(F.to_date("__from"), F.to_date("__to")))))
+    side = side.withColumn("__to", F.coalesce("__to", moment(as_of)))
+    begin = F.col("__from") if since is None else F.greatest(F.col("__from"), moment(since))
+    side = (side.filter((F.col("__from") <= F.col("__to")) & (begin <= F.col("__to")))
+            .withColumn("__day", F.explode(F.sequence(F.to_date(begin), F.to_date("__to")))))
     on = ((rows["top_level_node_id"] == side["__node"]) & (rows["pid"] == side["__pid"])
           & (F.to_date(rows[time]) == side["__day"])
           & (rows[time] >= side["__from"]) & (rows[time] <= side["__to"]))
@@ -128,6 +129,15 @@ def samples_of(samples: DataFrame, requests: DataFrame, key: str = "rr_uuid") ->
     return samples.join(wanted, splittable(samples, wanted, {"root_request_id": f"__k_{key}"}), "left_semi")
 
 
+def of_days(samples: DataFrame, requests: DataFrame) -> DataFrame:
+    """Of a log partitioned by day, the days on which some of the requests were seen: at most a few rows, which prune
+    the scan at run time. Other logs are handed back."""
+    if "day" not in samples.columns:
+        return samples
+    days = requests.select(F.explode(F.sequence(F.to_date("rr_min_dt"), F.to_date("rr_max_dt"))).alias("day")).distinct()
+    return samples.join(days, "day", "left_semi")
+
+
 def resolve_server(hosts: DataFrame, live: DataFrame, master: DataFrame) -> DataFrame:
     """Server id of each host: from the live list, else from the recorded servers."""
     live_ids = live.groupBy("host").agg(F.min("uuid").alias("__live"))
@@ -137,7 +147,10 @@ def resolve_server(hosts: DataFrame, live: DataFrame, master: DataFrame) -> Data
 
 
 def merge_columns(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """UPDATE … FROM: matched rows take the source values, NULLs included; others keep theirs."""
+    """UPDATE … FROM: matched rows take the source values, NULLs included; others keep theirs. A key that the source
+    repeats updates its rows once, with the row that is greatest by its values; an update never adds rows."""
+    once = source.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("__v"))
+    source = once.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in columns])
     side = source.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                          *[F.col(c).alias(f"__n_{c}") for c in columns], F.lit(True).alias("__hit"))
     condition = None
@@ -169,8 +182,8 @@ def snapshot_wide(snapshots: DataFrame, log: DataFrame, hosts: Sequence[str], me
 
 
 def kv_to_row(kv: DataFrame, keys: dict[str, str], by: Sequence[str] = ("host",)) -> DataFrame:
-    """Key/value lines to one row. `keys` maps each key to its type. A group lacking a key gives no row;
-    a key with an empty value does."""
+    """Key/value lines to one row. `keys` maps each key to its type. A group lacking a key gives no row; a key with an
+    empty value does. Of a key given twice the greatest text counts; `repeated_keys` lists such keys."""
     values, present = [], []
     for key, kind in keys.items():
         hit = F.col("key") == key
@@ -182,6 +195,11 @@ def kv_to_row(kv: DataFrame, keys: dict[str, str], by: Sequence[str] = ("host",)
     return wide.drop(*[f"__has_{key}" for key in keys])
 
 
+def repeated_keys(kv: DataFrame, by: Sequence[str] = ("host",)) -> DataFrame:
+    """Keys that a group gives more than once, with their number of lines: what `kv_to_row` cannot keep."""
+    return kv.groupBy(*by, "key").agg(F.count(F.lit(1)).alias("n_lines")).filter(F.col("n_lines") > 1)
+
+
 def substring_matches(df: DataFrame, text: str, cuts: Sequence[tuple[int, int]]) -> DataFrame:
     """Three-way self match on substrings: for every substring that occurs at all three positions, how many rows
     have it at each position and how many row triples that makes.

@@ -89,13 +89,16 @@ def ghost_sessions(sessions: DataFrame, samples: DataFrame) -> DataFrame:
         port_part(F.col("client_node_ip")).alias("client_port"), F.col("dbid").alias("datid"))
 
 
-def close_sessions(sessions: DataFrame, activity: DataFrame, as_of, hosts: Sequence[str] | None = None) -> DataFrame:
-    """New state: open sessions of the reporting hosts that the export no longer shows get `gone_dt`.
-    Without `hosts`, every host in the export has reported."""
+def close_sessions(sessions: DataFrame, activity: DataFrame, as_of,
+                   hosts: DataFrame | Sequence[str] | None = None) -> DataFrame:
+    """New state: open sessions of the reporting hosts that the export no longer shows get `gone_dt`. `hosts` (a frame
+    with the column `host`, or names) are the reporting ones; without it, those in the export are."""
     keys = ["host", "pid", "backend_start"]
     marked = with_mark(sessions, activity, keys, "__here")
     if hosts is None:
         marked = with_mark(marked, activity, ["host"], "__reported")
+    elif isinstance(hosts, DataFrame):
+        marked = with_mark(marked, hosts, ["host"], "__reported")
     else:
         marked = marked.withColumn("__reported", F.col("host").isin(*hosts))
     gone = F.col("gone_dt").isNull() & F.col("__reported") & ~F.col("__here")
@@ -196,14 +199,17 @@ def open_tablets(tablets: DataFrame, local: DataFrame, as_of) -> DataFrame:
     return only_new(held, alive(tablets), ["tblt_uuid"]).withColumn("log_dt", moment(as_of))
 
 
-def track_replicas(replicas: DataFrame, local: DataFrame, as_of, servers: Sequence[str] | None = None) -> DataFrame:
+def track_replicas(replicas: DataFrame, local: DataFrame, as_of,
+                   servers: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """New state: a replica opens when a server first holds a tablet, closes when it no longer does, and opens
-    again as a new interval when the tablet returns. `servers` lists the reporting servers (default: those in
-    the export)."""
+    again as a new interval when the tablet returns. `servers` (a frame with the column `tsrv_uuid`, or ids) are the
+    reporting ones, so that a server that holds nothing any more closes its replicas; default: those in the export."""
     held = local.select(F.col("tablet_id").alias("tblt_uuid"), "tsrv_uuid").distinct()
     marked = with_mark(replicas, held, ["tblt_uuid", "tsrv_uuid"], "__here")
     if servers is None:
         marked = with_mark(marked, held, ["tsrv_uuid"], "__reported")
+    elif isinstance(servers, DataFrame):
+        marked = with_mark(marked, servers, ["tsrv_uuid"], "__reported")
     else:
         marked = marked.withColumn("__reported", F.col("tsrv_uuid").isin(*servers))
     gone = F.col("gone_dt").isNull() & F.col("__reported") & ~F.col("__here")
@@ -234,10 +240,14 @@ def load_samples(log: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def log_of_days(log: DataFrame, batch: DataFrame, day: str = "day") -> DataFrame:
-    """The partitions of the log that the batch can touch. Two dates come to the driver and go back as literals,
-    so the other partitions are not even listed for the scan."""
-    first, last = batch.agg(F.to_date(F.min("sample_time")), F.to_date(F.max("sample_time"))).first()
-    return log.filter(F.col(day).between(F.lit(first), F.lit(last)) if first else F.lit(False))
+    """The partitions of the log that the batch can touch, that of samples without a time among them. The batch's days
+    come to the driver, a handful, and go back as literals that prune the scan."""
+    days = [r[0] for r in batch.select(F.to_date("sample_time").alias("d")).distinct().collect()]
+    known = [F.col(day) == F.lit(d) for d in days if d is not None] + [F.col(day).isNull()] * (None in days)
+    wanted = F.lit(False)
+    for test in known:
+        wanted = wanted | F.coalesce(test, F.lit(False)) if None in days else wanted | test
+    return log.filter(wanted)
 
 
 def distinct_events(samples: DataFrame) -> DataFrame:

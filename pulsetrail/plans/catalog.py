@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import moment
 from ..operators import aggregates as ag
@@ -270,12 +271,6 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
     return samples_from_events(sm.read_stream(spark, f"{folder}/ev*", EVENTS_SCHEMA))
 
 
-def _unzoned(df: DataFrame) -> DataFrame:
-    """Timestamps back to zone-less, as the tables have them."""
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "timestamp"
-                       else F.col(f.name) for f in df.schema])
-
-
 def _batches(spark: SparkSession, folder: str, handle, purpose: str):
     return sm.run_batches(_stream(spark, folder), handle, run_folder(spark, purpose))
 
@@ -292,18 +287,21 @@ def _late(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_all("late", schema).select("sample_id", "sample_time", "host")
 
 
+def _distinct(spark: SparkSession, folder: str) -> DataFrame:
+    schema = TestData(spark, folder).samples.schema
+    tables = _batches(spark, folder, sm.load_distinct(schema), "once")
+    return tables.read_all("sample_once", T.StructType([schema[k] for k in st.SAMPLE_KEY]))
+
+
 STREAMS: dict[str, Query] = {
-    "stream_deduplicated": lambda s, f: _unzoned(sm.run_to_parquet(
-        sm.deduplicated(_stream(s, f)).select(*st.SAMPLE_KEY), "dedup")),
-    "stream_minute_host_counts": lambda s, f: _unzoned(sm.run_to_parquet(
-        sm.minute_host_counts(_stream(s, f)), "minutes")),
-    "stream_minute_wait_types": lambda s, f: _unzoned(sm.run_to_parquet(
-        sm.minute_wait_types(_stream(s, f)), "waits")),
+    "stream_deduplicated": _distinct,
+    "stream_minute_host_counts": lambda s, f: sm.read_minute_hosts(_batches(s, f, sm.add_minute_hosts, "minutes")),
+    "stream_minute_wait_types": lambda s, f: sm.read_minute_waits(_batches(s, f, sm.add_minute_waits, "waits")),
     "stream_rr_spans": lambda s, f: sm.read_spans(_batches(s, f, sm.add_spans, "spans")),
-    "stream_activity_bursts": lambda s, f: _unzoned(sm.run_to_parquet(
-        sm.activity_bursts(_stream(s, f), "6 hours"), "bursts")),
+    "stream_activity_bursts": lambda s, f: sm.read_bursts(
+        _batches(s, f, sm.add_pieces, "bursts"), LIFETIME_TIMEOUT),
     "stream_session_lifetimes": lambda s, f: sm.read_lifetimes(
-        _batches(s, f, sm.track_lifetimes(LIFETIME_TIMEOUT), "lifetimes")),
+        _batches(s, f, sm.add_pieces, "lifetimes"), LIFETIME_TIMEOUT),
     "stream_first_seen_events": lambda s, f: _batches(s, f, sm.add_first_seen, "events")
         .read_all("event_mst", sm.EVENT_SCHEMA),
     "stream_file_drop": _loaded,

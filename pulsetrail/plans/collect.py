@@ -57,7 +57,9 @@ def run_log_row(spark: SparkSession, component: str, host: str, logged_dt, ela_m
 def commit(result: Collected, tables: VersionedTables, host: str, as_of, batch: int | None = None) -> dict[str, int]:
     """Write a job's tables and its run-log row; returns the rows written per table."""
     started, written = time.monotonic(), {}
-    for name, df in [*result.replace.items(), *result.append.items()]:
+    # What leaves a table is appended before the table without it is published: a failure between the two leaves rows in
+    # both parts, which the repeated cycle puts right, and never in neither.
+    for name, df in [*result.append.items(), *result.replace.items()]:
         if name in result.replace:
             path = tables.version_path(name, tables.replace(name, df, batch))
         else:
@@ -87,7 +89,7 @@ def collect_queries(queries: DataFrame, log: DataFrame, samples: DataFrame, acti
 
 
 def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFrame, as_of,
-                     gone: DataFrame | None = None) -> Collected:
+                     gone: DataFrame | None = None, reporting: DataFrame | None = None) -> Collected:
     """Open, guess from samples, close, log: in this order. Guessed sessions are not in the export, so they are
     closed in the same run and only re-open once an export confirms them.
 
@@ -98,7 +100,7 @@ def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFram
     with_open = st.extended(sessions, opened)
     ghosts = st.ghost_sessions(whole(with_open), samples)
     with_ghosts = st.extended(with_open, ghosts)
-    state = st.close_sessions(with_ghosts, activity, as_of)
+    state = st.close_sessions(with_ghosts, activity, as_of, reporting)
     log = st.log_sessions(activity, whole(state), as_of)
     closed = state.filter(F.col("gone_dt") == moment(as_of))
     return Collected("sessions", {"session_mst": state}, {"session_log": log},
@@ -118,9 +120,10 @@ def collect_hosts(lines: DataFrame, local_tablets: DataFrame, by=("host",)) -> C
     return Collected("hosts", append={"host_log": rows}, steps={"log": rows})
 
 
-def collect_tablets(tablets: DataFrame, replicas: DataFrame, local: DataFrame, as_of) -> Collected:
+def collect_tablets(tablets: DataFrame, replicas: DataFrame, local: DataFrame, as_of,
+                    reporting: DataFrame | None = None) -> Collected:
     opened = st.open_tablets(tablets, local, as_of)
-    tracked = st.track_replicas(replicas, local, as_of)
+    tracked = st.track_replicas(replicas, local, as_of, reporting)
     state = st.close_tablets(st.extended(tablets, opened), tracked, as_of)
     now = moment(as_of)
     return Collected("tablets", {"tablet_mst": state, "tablet_rep": tracked}, {}, {

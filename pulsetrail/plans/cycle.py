@@ -49,7 +49,8 @@ def split_closed(result: collect.Collected) -> None:
 
 @dataclass
 class Exports:
-    """The exported statistics of one collection. Each frame carries `host` and `tsrv_uuid`."""
+    """The exported statistics of one collection. Each frame carries `host` and `tsrv_uuid`; `reporting` lists the
+    nodes that took part, also those with nothing to show."""
 
     databases: DataFrame
     local_tablets: DataFrame
@@ -57,6 +58,7 @@ class Exports:
     statements: DataFrame
     samples: DataFrame
     host_lines: DataFrame | None = None
+    reporting: DataFrame | None = None
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -91,9 +93,10 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of) -> di
 
     jobs = [
         lambda: collect.collect_databases(read("database_mst"), exports.databases, as_of),
-        lambda: collect.collect_tablets(read("tablet_mst"), read("tablet_rep"), exports.local_tablets, as_of),
+        lambda: collect.collect_tablets(read("tablet_mst"), read("tablet_rep"), exports.local_tablets, as_of,
+                                        exports.reporting),
         lambda: collect.collect_sessions(read("session_mst"), exports.activity, exports.samples, as_of,
-                                         _closed(tables, "session_mst")),
+                                         _closed(tables, "session_mst"), exports.reporting),
         lambda: collect.collect_queries(_queries(tables, as_of), tables.read_all("query_log", TABLES["query_log"]),
                                         exports.samples, exports.activity, exports.statements, as_of),
         samples,

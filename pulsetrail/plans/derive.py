@@ -6,27 +6,31 @@ or requests; the request id is the join key, a number derived from it is for dis
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import millis_rounded, rr_key
 from ..operators.aggregates import merge_spans, span
-from ..operators.filters import BACKGROUND_PREFIX, foreground, lookback, no_ghosts, only_pid
-from ..operators.joins import attach_session, only_new, samples_of
+from ..operators.filters import BACKGROUND_PREFIX, foreground, lookback, no_ghosts, only_pid, parse_moment
+from ..operators.joins import attach_session, of_days, only_new, samples_of
 
 
 def build_root_requests(samples: DataFrame, sessions: DataFrame, as_of, seconds: int = 3600,
                         known: DataFrame | None = None, prefix: str = BACKGROUND_PREFIX, pid: int | None = None,
-                        temporal: bool = False) -> DataFrame:
+                        temporal: bool = True) -> DataFrame:
     """First and last sample of every foreground request, per session: sess_id, rr_uuid, rr_min_dt, rr_max_dt.
 
-    Samples match a session by node and process id. `temporal` also asks for the session to have been alive,
-    which is what re-used process ids need. Requests in `known` are left out.
+    Samples match the session of their node and process id that was alive then. Without `temporal` they match every
+    session that ever had this process id: one row per session, for single processes that are not re-used. Requests in
+    `known` are left out.
     """
     rows = only_pid(foreground(lookback(samples, "sample_time", as_of, seconds), prefix), pid)
     owners = only_pid(no_ghosts(sessions), pid)
     if temporal:
-        matched = attach_session(rows, owners, time="sample_time", as_of=as_of)
+        since = parse_moment(as_of) - dt.timedelta(seconds=seconds)
+        matched = attach_session(rows, owners, time="sample_time", as_of=as_of, since=since)
         spans = span(matched, ["sess_id", "root_request_id"], "sample_time", "lo", "hi")
     else:
         keys = ["top_level_node_id", "pid", "root_request_id"]
@@ -43,6 +47,7 @@ def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: Da
     By default all samples are folded before the requests select among the folds. With `few` requests (one
     process, say) they select the samples first.
     """
+    samples = of_days(samples, root_requests)
     if few:
         samples = samples_of(samples, root_requests)
     spans = span(samples.filter(F.col("query_id").isNotNull()), ["root_request_id", "query_id"],

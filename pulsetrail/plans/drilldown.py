@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (clock, clock_ms, clock_ms_dashed, day_clock, millis_truncated, rr_key, seconds3)
 from ..operators.filters import lookback, only_pid, rr_like
-from ..operators.joins import attach_tablet, join_query, samples_of, splittable
+from ..operators.joins import attach_tablet, join_query, of_days, samples_of, splittable
 from ..operators.windows import blank_repeat, neighbours
 from .derive import rr_view
 
@@ -54,8 +54,8 @@ def session_queries(root_requests: DataFrame, links: DataFrame, queries: DataFra
                  .agg(F.count(F.lit(1)).alias("nr_of_rr"), F.min("qurr_start_dt").alias("first"),
                       F.sum("dur_ms").alias("total_ms")))
     return (join_query(per_query, queries, "queryid")
-            .select("pid", "queryid", "query", "nr_of_rr", clock_ms(F.col("first")).alias("first_occ"), "total_ms")
-            .orderBy("pid", "first_occ", "queryid"))
+            .orderBy("pid", "first", "queryid")
+            .select("pid", "queryid", "query", "nr_of_rr", clock_ms(F.col("first")).alias("first_occ"), "total_ms"))
 
 
 def session_rr_queries(root_requests: DataFrame, links: DataFrame, queries: DataFrame, sessions: DataFrame,
@@ -77,6 +77,7 @@ def session_rr_queries(root_requests: DataFrame, links: DataFrame, queries: Data
 def session_rr_events(root_requests: DataFrame, samples: DataFrame, sessions: DataFrame,
                       pid: int | None = None) -> DataFrame:
     """All samples of a session's requests, whichever node took them."""
+    samples = of_days(samples, root_requests)
     requests = _requests_of(root_requests, sessions, pid).select("rr_uuid", F.col("pid").alias("session_pid"))
     return (samples.join(requests, samples["root_request_id"] == requests["rr_uuid"], "inner")
             .orderBy("session_pid", "sample_time", "sample_id")
@@ -88,6 +89,7 @@ def session_events(root_requests: DataFrame, samples: DataFrame, tablets: DataFr
                    sessions: DataFrame, pid: int | None = None, enabled: bool = True) -> DataFrame:
     """Samples of a session with table name; samples from a remote call carry a ` L ` mark. Switched off, the
     filter folds to nothing before any scan."""
+    samples = of_days(samples, root_requests)
     requests = _requests_of(root_requests, sessions, pid).select(
         "sess_id", F.col("pid").alias("session_pid"), "rr_uuid")
     known = queries.select(F.col("queryid").alias("__q"))
@@ -130,6 +132,7 @@ def rr_queries(root_requests: DataFrame, links: DataFrame, queries: DataFrame, p
 
 
 def rr_events(root_requests: DataFrame, samples: DataFrame, prefix: str | None = None) -> DataFrame:
+    samples = of_days(samples, root_requests)
     requests = rr_like(root_requests, prefix).select("rr_uuid")
     return (samples.join(requests, samples["root_request_id"] == requests["rr_uuid"], "inner")
             .orderBy("rr_uuid", "sample_time", "sample_id")
@@ -142,6 +145,7 @@ def rr_events(root_requests: DataFrame, samples: DataFrame, prefix: str | None =
 def query_rrs(queries: DataFrame, links: DataFrame, root_requests: DataFrame, samples: DataFrame, as_of,
               seconds: int = 3600, queryid: int | None = None) -> DataFrame:
     """Requests of a statement. `cnt_ash` counts all samples of the request, whatever statement they belong to."""
+    samples = of_days(samples, root_requests)
     if queryid is not None:
         queries, links = queries.filter(F.col("queryid") == queryid), links.filter(F.col("queryid") == queryid)
         samples = samples_of(samples, links)

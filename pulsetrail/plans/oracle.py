@@ -132,12 +132,13 @@ VIEWS = {
                      13515 + user_id % 3 AS datid, count(*) FILTER (event_type = 'signup') AS s, count(*) AS n
               FROM events GROUP BY 1, 2, 3)
         WINDOW w AS (PARTITION BY log_host, datid ORDER BY log_dt ROWS UNBOUNDED PRECEDING)""",
-    "rr": """
-        SELECT sm.id AS sess_id, al.root_request_id AS rr_uuid, min(sample_time) AS rr_min_dt,
-               max(sample_time) AS rr_max_dt
-        FROM samples al JOIN sessions sm ON al.top_level_node_id = sm.tsrv_uuid AND al.pid = sm.pid
-        WHERE al.root_request_id NOT LIKE '0000%' AND sample_time > TIMESTAMP '2024-01-01 00:00:00'
-          AND usesysid IS NOT NULL GROUP BY 1, 2""",
+    "rr": f"""
+        SELECT own.id AS sess_id, seen.root_request_id AS rr_uuid, min(seen.sample_time) AS rr_min_dt,
+               max(seen.sample_time) AS rr_max_dt
+        FROM sessions own JOIN samples seen ON seen.pid = own.pid AND seen.top_level_node_id = own.tsrv_uuid
+        WHERE seen.sample_time >= own.backend_start AND seen.sample_time <= coalesce(own.gone_dt, {AS_OF})
+          AND seen.sample_time > TIMESTAMP '2024-01-01 00:00:00' AND own.usesysid IS NOT NULL
+          AND NOT starts_with(seen.root_request_id, '0000') GROUP BY ALL""",
     "links": """
         SELECT rm.rr_uuid, al.query_id AS queryid, min(sample_time) AS qurr_start_dt,
                CAST(round(datediff('microsecond', min(sample_time), max(sample_time)) / 1000.0) AS BIGINT) AS dur_ms
@@ -265,7 +266,6 @@ VIEWS = {
                  ORDER BY sample_time, sample_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS burst
         FROM (SELECT *, CASE WHEN sample_time < lag(sample_time) OVER (PARTITION BY top_level_node_id, pid
                  ORDER BY sample_time, sample_id) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM samples)""",
-    "watermark": "SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 900 SECOND AS mark FROM events",
     # the event tree
     "tree_rr": """
         SELECT rr.*, CAST(sm.pid AS BIGINT) AS pid, client_addr, client_port, app_name,
@@ -372,6 +372,7 @@ QUERIES = {
                count(*) AS cnt_samples FROM samples WHERE {INTERVAL}""",
     "minute_host_crosstab": "SELECT upper(strftime(sample_time, '%j %a %H:%M:00')) AS dt_hr, " + ", ".join(
         f"nullif(count(*) FILTER (host = 'node{n}'), 0) AS node{n}" for n in (2, 3, 4, 5))
+        + ", nullif(count(*) FILTER (coalesce(host NOT IN ('node2', 'node3', 'node4', 'node5'), true)), 0) AS other"
         + f" FROM samples WHERE {INTERVAL} GROUP BY 1",
     "busiest_nodes": f"""
         SELECT count(*) AS recs_in_intrv, strftime(min(sample_time), '%Y-%m-%d %H:%M:%S') AS oldest_stored,
@@ -633,17 +634,14 @@ QUERIES = {
         "new_servers": "(SELECT DISTINCT tsrv_uuid FROM tserver_log WHERE host = 'node5')", "servers": "tserver_log"}),
     "stream_deduplicated": """SELECT DISTINCT host, sample_time, root_request_id, rpc_request_id, wait_event FROM quiet""",
     "stream_minute_host_counts": """
-        SELECT date_trunc('minute', sample_time) AS dt, host, count(*) AS cnt FROM samples GROUP BY 1, 2
-        HAVING date_trunc('minute', sample_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM watermark)""",
+        SELECT date_trunc('minute', sample_time) AS dt, host, count(*) AS cnt FROM samples GROUP BY 1, 2""",
     "stream_minute_wait_types": f"""
-        SELECT date_trunc('minute', sample_time) AS dt, {_WAITS} FROM samples GROUP BY 1
-        HAVING date_trunc('minute', sample_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM watermark)""",
+        SELECT date_trunc('minute', sample_time) AS dt, {_WAITS} FROM samples GROUP BY 1""",
     "stream_rr_spans": """SELECT root_request_id AS rr_uuid, min(sample_time) AS rr_min_dt, max(sample_time) AS rr_max_dt,
                           count(*) AS cnt FROM samples WHERE root_request_id NOT LIKE '0000%' GROUP BY 1""",
     "stream_activity_bursts": """
         SELECT top_level_node_id, pid, min(sample_time) AS first_seen, max(sample_time) AS last_seen, count(*) AS cnt
-        FROM bursts GROUP BY top_level_node_id, pid, burst
-        HAVING max(sample_time) + INTERVAL 6 HOUR <= (SELECT mark FROM watermark)""",
+        FROM bursts GROUP BY top_level_node_id, pid, burst""",
     "stream_session_lifetimes": """
         SELECT top_level_node_id, pid, min(sample_time) AS opened, max(sample_time) AS last_seen,
                CASE WHEN max(sample_time) <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR THEN max(sample_time) END AS gone_dt

@@ -39,7 +39,7 @@ def interval_report(h: History, as_of, seconds_ago: int = 900, length: int = 900
     }
 
 
-def session_report(h: History, pid: int, as_of, seconds: int = 3600, temporal: bool = False) -> dict[str, DataFrame]:
+def session_report(h: History, pid: int, as_of, seconds: int = 3600, temporal: bool = True) -> dict[str, DataFrame]:
     """One process: its session, requests, statements, samples and the event tree. Requests are derived for this
     process only; they and their links are persisted while the parts are read. Unpersist `root_requests` and `links`
     when done."""

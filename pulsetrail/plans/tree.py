@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock_ms, clock_ms_colon, left_pad, right_pad
 from ..operators.filters import only_pid
-from ..operators.joins import attach_tablet, join_query, renamed_keys, samples_of
+from ..operators.joins import attach_tablet, join_query, of_days, renamed_keys, samples_of
 from ..operators.windows import ordinal
 
 # Sort key of a line. `section` orders header / statements / closing inside a request, `part` inside a statement.
@@ -50,6 +50,7 @@ def _links_of(links: DataFrame, requests: DataFrame) -> DataFrame:
 def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, samples: DataFrame,
                tablets: DataFrame, sessions: DataFrame, pid: int | None = None) -> DataFrame:
     """Lines of the tree for one process id, or for every one. Columns: the sort key and `output`."""
+    samples = of_days(samples, root_requests)
     requests = _requests(root_requests, sessions, pid)
     numbered = ordinal(requests, ["pid"], "rr_min_dt", ["rr_uuid", "sess_id"], "rr_no")
     short = F.substring("rr_uuid", 1, 2)
@@ -112,6 +113,7 @@ def events_per_pid_list(root_requests: DataFrame, links: DataFrame, samples: Dat
                         pid: int | None = None) -> DataFrame:
     """Flat nested list request / statement / sample. Samples are those of the request itself; listing every
     sample of a statement under each request that ran it would pair all of them with all of them."""
+    samples = of_days(samples, root_requests)
     requests = _requests(root_requests, sessions, pid)
     head = F.concat(F.lit("sess: "), F.col("sess_id").cast("string"), F.lit(" "), F.col("rr_uuid"), F.lit(" "),
                     F.date_format("rr_max_dt", "HH:mm.ss"))

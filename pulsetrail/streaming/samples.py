@@ -2,8 +2,10 @@
 
 Exports dropped as files are read once per trigger. Stateless rewrites run on the stream; operators that need the
 stored history run in `foreachBatch` with the same functions as the batch jobs, each micro-batch writing its own
-version, so a repeated batch gives the same tables. Event time is a zoned TIMESTAMP on the stream, because
-watermarks ask for one.
+version, so a repeated batch gives the same tables.
+
+Nothing waits for a watermark: a batch appends what it adds to each group, and groups are put together when they are
+read. So a late row counts however late it is, and open groups can be read at any time.
 """
 
 from __future__ import annotations
@@ -18,21 +20,8 @@ from ..operators import state as st
 from ..operators.filters import drop_noise, foreground
 from ..operators.joins import only_new
 from ..plans.dashboards import wait_type_columns
-from ..session import run_folder
 from ..sources.tables import VersionedTables
 
-HORIZON = "900 seconds"
-
-STATE_SETTINGS = {
-    # state on local disk with a change log in the checkpoint, instead of on the heap
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # sessions of one busy process are merged before the shuffle, not only after it
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-}
-
-
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """Files dropped into a folder (or matching a glob), each read once."""
     reader = spark.readStream.schema(schema)
@@ -41,53 +30,6 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return reader.parquet(path)
 
 
-def zoned(samples: DataFrame) -> DataFrame:
-    return samples.withColumn("sample_time", F.col("sample_time").cast("timestamp"))
-
-
-def deduplicated(samples: DataFrame, horizon: str = HORIZON, spread: int = 16) -> DataFrame:
-    """Samples once per natural key; a copy arriving within the horizon is dropped. Noise is dropped first and
-    a missing call id counts as 0.
-
-    A stream cannot drop copies before its shuffle, so a sample copied very often would load one task. Copies
-    are first dropped per (key, part of the input) and only what is left, at most `spread` rows per key, per key.
-    """
-    rows = drop_noise(samples).withColumn("rpc_request_id", F.coalesce("rpc_request_id", F.lit(0).cast("long")))
-    rows = zoned(rows).withWatermark("sample_time", horizon)
-    if spread > 1:
-        rows = rows.withColumn("__part", F.floor(F.rand() * spread).cast("int"))
-        rows = rows.dropDuplicatesWithinWatermark([*st.SAMPLE_KEY, "__part"]).drop("__part")
-    return rows.dropDuplicatesWithinWatermark(st.SAMPLE_KEY)
-
-
-def minute_host_counts(samples: DataFrame, horizon: str = HORIZON) -> DataFrame:
-    """Samples per minute and host, emitted once the minute is complete."""
-    return (zoned(samples).withWatermark("sample_time", horizon)
-            .groupBy(F.window("sample_time", "1 minute").alias("w"), "host")
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .select(F.col("w.start").alias("dt"), "host", "cnt"))
-
-
-def minute_wait_types(samples: DataFrame, horizon: str = HORIZON) -> DataFrame:
-    """Wait types per minute: a fixed list of conditional counts, since a stream cannot pivot."""
-    return (zoned(samples).withWatermark("sample_time", horizon)
-            .groupBy(F.window("sample_time", "1 minute").alias("w"))
-            .agg(*wait_type_columns())
-            .select(F.col("w.start").alias("dt"), *[c for c in _WAIT_NAMES]))
-
-
-_WAIT_NAMES = ["timeout", "network", "disk_io", "wait_on_condition", "io", "client", "cpu_active", "cpu_passive"]
-
-
-def activity_bursts(samples: DataFrame, gap: str = "10 minutes", horizon: str = HORIZON) -> DataFrame:
-    """Bursts of one process: samples less than `gap` apart."""
-    return (zoned(samples).withWatermark("sample_time", horizon)
-            .groupBy(F.session_window("sample_time", gap).alias("w"), "top_level_node_id", "pid")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.min("sample_time").alias("first_seen"),
-                 F.max("sample_time").alias("last_seen"))
-            .select("top_level_node_id", "pid", "first_seen", "last_seen", "cnt"))
-
-
 def before_newest(df: DataFrame, column: str, span: dt.timedelta) -> Column:
     """The newest moment of a column minus a time span, as a literal. The moment travels as text, so neither the
     driver's time zone nor the column's timestamp type matters."""
@@ -96,23 +38,6 @@ def before_newest(df: DataFrame, column: str, span: dt.timedelta) -> Column:
     return newest - F.make_dt_interval(secs=F.lit(span.total_seconds()).cast("decimal(18,6)"))
 
 
-def run_to_parquet(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run an append-mode stream over everything available, then read back what it wrote."""
-    spark = stream.sparkSession
-    folder = run_folder(spark, purpose)
-    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
-    for key, value in STATE_SETTINGS.items():
-        spark.conf.set(key, value)
-    try:
-        (stream.writeStream.outputMode("append").format("parquet")
-         .option("path", f"{folder}/data").option("checkpointLocation", f"{folder}/checkpoint")
-         .trigger(availableNow=True).start().awaitTermination())
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    return spark.read.schema(stream.schema).parquet(f"{folder}/data")
-
-
 def run_batches(stream: DataFrame, handle, folder: str) -> VersionedTables:
     """Run `handle(tables, rows, batch_id)` for every micro-batch over everything available."""
     tables = VersionedTables(stream.sparkSession, f"{folder}/tables")
@@ -154,49 +79,81 @@ def read_spans(tables: VersionedTables) -> DataFrame:
     return fold_spans(tables.read_all("rr_span", SPAN_SCHEMA))
 
 
-# ---- process lifetime -------------------------------------------------------------------------------------
+# ---- minute counts ----------------------------------------------------------------------------------------
+
+MINUTE_SCHEMA = T.StructType([T.StructField("dt", T.TimestampNTZType()), T.StructField("host", T.StringType()),
+                              T.StructField("cnt", T.LongType())])
+_WAIT_NAMES = ["timeout", "network", "disk_io", "wait_on_condition", "io", "client", "cpu_active", "cpu_passive"]
+WAIT_SCHEMA = T.StructType([T.StructField("dt", T.TimestampNTZType()),
+                            *[T.StructField(n, T.LongType()) for n in _WAIT_NAMES]])
 
-LIFE_SCHEMA = T.StructType([
+
+def add_minute_hosts(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
+    """A batch's samples per minute and host."""
+    tables.add("minute_host", rows.groupBy(F.date_trunc("minute", "sample_time").alias("dt"), "host")
+               .agg(F.count(F.lit(1)).alias("cnt")), batch_id)
+
+
+def read_minute_hosts(tables: VersionedTables) -> DataFrame:
+    return tables.read_all("minute_host", MINUTE_SCHEMA).groupBy("dt", "host").agg(F.sum("cnt").alias("cnt"))
+
+
+def add_minute_waits(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
+    """A batch's wait types per minute: a fixed list of conditional counts."""
+    counts = rows.groupBy(F.date_trunc("minute", "sample_time").alias("dt")).agg(*wait_type_columns())
+    tables.add("minute_wait", counts.select("dt", *_WAIT_NAMES), batch_id)
+
+
+def read_minute_waits(tables: VersionedTables) -> DataFrame:
+    return tables.read_all("minute_wait", WAIT_SCHEMA).groupBy("dt").agg(*[F.sum(n).alias(n) for n in _WAIT_NAMES])
+
+
+# ---- process lifetime and bursts --------------------------------------------------------------------------
+
+PIECE_SCHEMA = T.StructType([
     T.StructField("top_level_node_id", T.StringType()), T.StructField("pid", T.LongType()),
-    T.StructField("opened", T.TimestampNTZType()), T.StructField("last_seen", T.TimestampNTZType())])
+    T.StructField("opened", T.TimestampNTZType()), T.StructField("last_seen", T.TimestampNTZType()),
+    T.StructField("cnt", T.LongType())])
 _LIFE_KEYS = ["top_level_node_id", "pid"]
 
 
-def lifetimes(spans: DataFrame, timeout_seconds: int) -> DataFrame:
-    """Merge (opened, last_seen) pieces of a process that lie within the timeout of each other.
+def add_pieces(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
+    """One piece per process and minute is what a batch adds; pieces are merged on read, so that a late sample still
+    joins or bridges the lifetimes around it."""
+    pieces = (rows.groupBy(*_LIFE_KEYS, F.date_trunc("minute", "sample_time").alias("m"))
+              .agg(F.min("sample_time").alias("opened"), F.max("sample_time").alias("last_seen"),
+                   F.count(F.lit(1)).alias("cnt")))
+    tables.add("piece", pieces.select(*PIECE_SCHEMA.fieldNames()), batch_id)
+
 
-    Session windows with a per-row gap: a piece reaches from its start to its end plus the timeout.
+def lifetimes(pieces: DataFrame, timeout_seconds: int) -> DataFrame:
+    """Merge (opened, last_seen, cnt) pieces of a process that lie within the timeout of each other.
+
+    Pieces of one minute are folded first, then session windows with a per-row gap: a piece reaches from its start to
+    its end plus the timeout.
     """
+    folded = (pieces.groupBy(*_LIFE_KEYS, F.date_trunc("minute", "opened").alias("m"))
+              .agg(F.min("opened").alias("opened"), F.max("last_seen").alias("last_seen"), F.sum("cnt").alias("cnt")))
     seconds = F.timestamp_diff("MICROSECOND", F.col("opened"), F.col("last_seen")) / 1e6 + F.lit(timeout_seconds)
     gap = F.make_interval(secs=seconds)
-    return (spans.groupBy(F.session_window("opened", gap).alias("w"), *_LIFE_KEYS)
-            .agg(F.min("opened").alias("opened"), F.max("last_seen").alias("last_seen"))
-            .select(*_LIFE_KEYS, "opened", "last_seen"))
-
-
-def track_lifetimes(timeout_seconds: int):
-    """Handler: sessions open at their first sample and close when nothing was seen for the timeout. Open ones are
-    the state; closed ones are appended once and leave it."""
+    return (folded.groupBy(F.session_window("opened", gap).alias("w"), *_LIFE_KEYS)
+            .agg(F.min("opened").alias("opened"), F.max("last_seen").alias("last_seen"), F.sum("cnt").alias("cnt"))
+            .select(*_LIFE_KEYS, "opened", "last_seen", "cnt"))
 
-    def handle(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
-        # one piece per process and minute is what the batch adds to the state
-        pieces = (rows.groupBy(*_LIFE_KEYS, F.date_trunc("minute", "sample_time").alias("m"))
-                  .agg(F.min("sample_time").alias("opened"), F.max("sample_time").alias("last_seen")).drop("m"))
-        known = tables.read("open_life", LIFE_SCHEMA, before=batch_id)
-        merged = lifetimes(known.unionByName(pieces), timeout_seconds).persist()
-        limit = before_newest(merged, "last_seen", dt.timedelta(seconds=timeout_seconds))
-        closed = F.coalesce(F.col("last_seen") <= limit, F.lit(False))
-        tables.add("closed_life", merged.filter(closed), batch_id)
-        tables.replace("open_life", merged.filter(~closed), batch_id)
-        merged.unpersist()
 
-    return handle
+def read_bursts(tables: VersionedTables, gap_seconds: int) -> DataFrame:
+    """Bursts of one process: samples less than the gap apart."""
+    return lifetimes(tables.read_all("piece", PIECE_SCHEMA), gap_seconds).select(
+        *_LIFE_KEYS, F.col("opened").alias("first_seen"), "last_seen", "cnt")
 
 
-def read_lifetimes(tables: VersionedTables) -> DataFrame:
-    closed = tables.read_all("closed_life", LIFE_SCHEMA).withColumn("gone_dt", F.col("last_seen"))
-    alive = tables.read("open_life", LIFE_SCHEMA).withColumn("gone_dt", F.lit(None).cast("timestamp_ntz"))
-    return closed.unionByName(alive)
+def read_lifetimes(tables: VersionedTables, timeout_seconds: int) -> DataFrame:
+    """Sessions from their first to their last sample; `gone_dt` is set once nothing was seen for the timeout before the
+    newest sample of all."""
+    pieces = tables.read_all("piece", PIECE_SCHEMA)
+    limit = before_newest(pieces, "last_seen", dt.timedelta(seconds=timeout_seconds))
+    gone = F.when(F.col("last_seen") <= limit, F.col("last_seen"))
+    return lifetimes(pieces, timeout_seconds).drop("cnt").withColumn("gone_dt", gone)
 
 
 # ---- first-seen events, incremental load, late rows -------------------------------------------------------
@@ -223,6 +180,21 @@ def load_new_samples(sample_schema: T.StructType):
     return handle
 
 
+def load_distinct(sample_schema: T.StructType):
+    """Handler: samples once per natural key, however far apart the copies arrive. Noise is dropped and a missing call id
+    counts as 0. Copies are folded in hash tables before they move, and looked up in the stored days of the batch."""
+    stored = T.StructType([*[sample_schema[k] for k in st.SAMPLE_KEY], T.StructField("day", T.DateType())])
+
+    def handle(tables: VersionedTables, rows: DataFrame, batch_id: int) -> None:
+        rows = drop_noise(rows).withColumn("rpc_request_id", F.coalesce("rpc_request_id", F.lit(0).cast("long")))
+        once = rows.select(*st.SAMPLE_KEY).distinct()
+        log = st.log_of_days(tables.read_all("sample_once", stored, before=batch_id), once)
+        fresh = only_new(once, log, st.SAMPLE_KEY).withColumn("day", F.to_date("sample_time"))
+        tables.add("sample_once", fresh, batch_id, partition_by=["day"])
+
+    return handle
+
+
 NEWEST_SCHEMA = T.StructType([T.StructField("newest", T.TimestampNTZType())])
 
 

@@ -46,10 +46,10 @@ def test_spans_and_lifetimes_equal_batch(spark, folder, drop, tmp_path):
     once = f"{folder}/ev*"
     spans = sm.read_spans(sm.run_batches(_stream(spark, drop), sm.add_spans, str(tmp_path / "a")))
     assert _rows(spans) == _rows(sm.read_spans(sm.run_batches(_stream(spark, once), sm.add_spans, str(tmp_path / "b"))))
-    handle = sm.track_lifetimes(6 * 3600)
-    parts = sm.read_lifetimes(sm.run_batches(_stream(spark, drop), handle, str(tmp_path / "c")))
-    whole = sm.read_lifetimes(sm.run_batches(_stream(spark, once), handle, str(tmp_path / "d")))
-    assert _rows(parts) == _rows(whole)
+    for name, read in (("c", lambda t: sm.read_lifetimes(t, 6 * 3600)), ("d", lambda t: sm.read_bursts(t, 6 * 3600))):
+        parts = read(sm.run_batches(_stream(spark, drop), sm.add_pieces, str(tmp_path / f"{name}1")))
+        whole = read(sm.run_batches(_stream(spark, once), sm.add_pieces, str(tmp_path / f"{name}2")))
+        assert _rows(parts) == _rows(whole)
 
 
 def test_first_seen_events_once(spark, drop, tmp_path):
@@ -73,15 +73,57 @@ def test_late_rows_are_set_aside(spark, tmp_path):
     assert tables.read_all("on_time", schema).count() == recent.count()
 
 
-def test_minute_counts_over_files_equal_one_file(spark, folder, drop):
-    parts = sm.run_to_parquet(sm.minute_host_counts(_stream(spark, drop)), "t1")
-    whole = sm.run_to_parquet(sm.minute_host_counts(_stream(spark, f"{folder}/ev*")), "t2")
-    assert _rows(parts) == _rows(whole)
+@pytest.fixture(scope="module")
+def shuffled(spark, folder, tmp_path_factory):
+    """The events as files in no order of time, with copies of a third of them in a last file."""
+    path = str(tmp_path_factory.mktemp("shuffled"))
+    events = TestData(spark, folder).events
+    for k in (3, 0, 2, 1):
+        events.filter(F.pmod(F.hash("event_id"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(path)
+    return path, events
 
 
-def test_duplicates_within_the_horizon_are_dropped(spark, folder, tmp_path):
-    events = TestData(spark, folder).events
-    events.union(events).coalesce(1).write.parquet(str(tmp_path / "in"))
-    once = sm.run_to_parquet(sm.deduplicated(_stream(spark, f"{folder}/ev*")).select(*st.SAMPLE_KEY), "d1")
-    twice = sm.run_to_parquet(sm.deduplicated(_stream(spark, str(tmp_path / "in"))).select(*st.SAMPLE_KEY), "d2")
-    assert _rows(once) == _rows(twice)
+def _batch(df):
+    return df.groupBy(F.date_trunc("minute", "sample_time").alias("dt"), "host").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def test_minutes_are_whole_whatever_the_order(spark, folder, shuffled, tmp_path):
+    path, _ = shuffled
+    samples = TestData(spark, folder).samples
+    got = sm.read_minute_hosts(sm.run_batches(_stream(spark, path), sm.add_minute_hosts, str(tmp_path / "a")))
+    assert _rows(got) == _rows(_batch(samples))
+    waits = sm.read_minute_waits(sm.run_batches(_stream(spark, path), sm.add_minute_waits, str(tmp_path / "b")))
+    whole = sm.read_minute_waits(sm.run_batches(_stream(spark, f"{folder}/ev*"), sm.add_minute_waits, str(tmp_path / "c")))
+    assert _rows(waits) == _rows(whole)
+
+
+def test_lifetimes_do_not_depend_on_the_order(spark, folder, shuffled, tmp_path):
+    path, _ = shuffled
+    for name, read in (("l", lambda t: sm.read_lifetimes(t, 6 * 3600)), ("b", lambda t: sm.read_bursts(t, 6 * 3600))):
+        parts = read(sm.run_batches(_stream(spark, path), sm.add_pieces, str(tmp_path / f"{name}1")))
+        whole = read(sm.run_batches(_stream(spark, f"{folder}/ev*"), sm.add_pieces, str(tmp_path / f"{name}2")))
+        assert _rows(parts) == _rows(whole)
+
+
+def test_a_late_sample_bridges_lifetimes(spark, tmp_path):
+    from pulsetrail.sources.tables import VersionedTables
+    tables = VersionedTables(spark, str(tmp_path))
+    day = "2024-01-05 "
+    for batch, time in enumerate(("00:00:00", "20:00:00", "03:00:00")):
+        rows = spark.sql(f"SELECT 'n' AS top_level_node_id, 1L AS pid, TIMESTAMP_NTZ '{day}{time}' AS sample_time")
+        sm.add_pieces(tables, rows, batch)
+    got = sm.read_lifetimes(tables, 6 * 3600).orderBy("opened").collect()
+    assert [(r["opened"].hour, r["last_seen"].hour) for r in got] == [(0, 3), (20, 20)]
+    assert got[0]["gone_dt"] == got[0]["last_seen"] and got[1]["gone_dt"] is None
+
+
+def test_copies_are_dropped_however_late(spark, folder, shuffled, tmp_path):
+    path, events = shuffled
+    copies = str(tmp_path / "in")
+    events.write.parquet(copies)
+    events.filter("event_id % 3 = 0").coalesce(1).write.mode("append").parquet(copies)
+    schema = TestData(spark, folder).samples.schema
+    tables = sm.run_batches(_stream(spark, copies), sm.load_distinct(schema), str(tmp_path / "out"))
+    keys = sm.T.StructType([schema[k] for k in st.SAMPLE_KEY])
+    want = st.load_samples(TestData(spark, folder).samples.limit(0), TestData(spark, folder).exported_samples)
+    assert _rows(tables.read_all("sample_once", keys)) == _rows(want.select(*st.SAMPLE_KEY).distinct())
