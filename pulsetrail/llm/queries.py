@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsetrail.llm import bpe, decontaminate, katz, langid, licenses, pii, quality, simhash, toxicity, urls
 from pulsetrail.llm.common import table
+from pulsetrail.llm.oracle import SQL  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,5 +26,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": lambda s, d: licenses.report(table(s, d, "documents")),
     "op10_quality": lambda s, d: quality.report(table(s, d, "documents"), table(s, d, "labels")),
 }
-
-SQL: dict[str, str] = {}
