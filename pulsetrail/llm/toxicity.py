@@ -1,13 +1,14 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded character by character: lower case, accents off, look-alikes of other scripts and digit or sign
+Texts are folded character by character: lower case, styled letters and look-alikes of other scripts and digit or sign
 substitutes to the Latin letter they stand for (l, i, 1, ! and | are one letter). One Aho-Corasick automaton finds the
 lexicon's entries, whole words or beginnings of words. The weight of the entries found, without those inside an
 exception phrase, is normalised by the text's length and turned into a score by a logistic curve.
 
 Lexicon, exceptions and curve are learned from a bounded sample of labelled rows: about `SAMPLE`, chosen by a hash of
 their id. An entry's weight is the smoothed log ratio of the shares of toxic and clean documents that hold it; entries
-whose log-likelihood ratio could be chance among so many candidates are left out. A word pair around an entry that is frequent in clean documents is an exception phrase.
+whose log-likelihood ratio could be chance among so many candidates are left out, as are those that only occur where
+enough others explain the label. A word pair around an entry that is frequent in clean documents is an exception phrase.
 
 Null and empty texts get the score of a text without findings, as does every text if there are no labels of both kinds.
 """
@@ -27,6 +28,7 @@ ENTRIES = 5_000
 MIN_DOCS = 2           # toxic documents that hold an entry at least
 MIN_WEIGHT = 2.5       # smoothed log ratio of an entry
 PREFIXES = range(4, 9)
+ENOUGH = 3             # accepted entries that explain a toxic document
 THRESHOLD = 0.7
 
 # Characters that look like or stand for a Latin letter.
@@ -48,7 +50,8 @@ def folded() -> np.ndarray:
             ch = chr(c)
             if not ch.isalnum():
                 continue
-            base = unicodedata.normalize("NFKD", ch)[0] if c < 0x3100 or c > 0xF000 else ch
+            # Letters with accents are letters of their own in many languages, up to the end of Latin Extended-A.
+            base = unicodedata.normalize("NFKD", ch)[0] if 0x180 <= c < 0x3100 or c > 0xF000 else ch
             low = base.lower()
             t[c] = ord(low) if len(low) == 1 else ord(base)
         for letter, others in LOOKALIKES.items():
@@ -143,6 +146,33 @@ def signals(total: float, hits: int, n: int) -> tuple[float, float, float]:
     return 10 * total / (n + 20), float(np.log1p(total)), float(hits > 0)
 
 
+def explaining(entries: list[str], rows: list[tuple[int, list[int]]], share: float, bar: float) -> list[int]:
+    """The entries that explain toxic documents beyond those before them.
+
+    Texts come in families of copies, where each rare word of a toxic text looks toxic. An entry only counts in toxic
+    documents that fewer than `ENOUGH` accepted entries explain, and must pass the bar with those. An entry that is nearly
+    always within the words of accepted beginnings, or the other way round, says nothing new."""
+    where: dict[int, list[int]] = {}
+    for d, (_, own) in enumerate(rows):
+        for k in own:
+            where.setdefault(k, []).append(d)
+    cover, taken = [0] * len(rows), []
+    for k in range(len(entries)):
+        own = where.get(k, [])
+        a = sum(rows[d][0] == 1 and cover[d] < ENOUGH for d in own)
+        b = sum(rows[d][0] == 0 for d in own)
+        if not a or a * np.log(a / (a + b) / share) + (b * np.log(b / (a + b) / (1 - share)) if b else 0.0) < bar:
+            continue
+        near = {d for j in taken if entries[j].startswith(entries[k].rstrip()) or entries[k].startswith(entries[j].rstrip())
+                for d in where[j]}
+        if len(set(own) - near) * 10 < len(own):
+            continue
+        taken.append(k)
+        for d in own:
+            cover[d] += 1
+    return taken
+
+
 class Model:
     def __init__(self, entries: dict[str, float], exceptions: list[str], curve: list[float]):
         self.entries, self.exceptions, self.curve = entries, exceptions, curve
@@ -167,8 +197,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> Model:
-    """A model from (doc_id, text, toxic). Entries, pairs and two numbers per sampled row come to the driver: at most
-    `entries` of the first two and about `sample` of the last."""
+    """A model from (doc_id, text, toxic). Bounded by the two parameters, at most `entries` entries and pairs, and about
+    `sample` rows with the numbers of their entries, come to the driver."""
     labelled = labelled.where(F.col("toxic").isin(0, 1))
     sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     none = Model({}, [], [-3.0, 0.0, 0.0, 0.0])
@@ -200,7 +230,19 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> Mo
     seen = (counted.where((F.col("weight") >= MIN_WEIGHT) & (F.col("surprise") >= bar))
             .orderBy(F.desc("surprise"), "entry").limit(entries).collect())
     counted.unpersist()
-    lexicon = {r["entry"]: r["weight"] for r in seen}
+    candidates = sorted(((r["entry"], r["weight"], r["surprise"]) for r in seen), key=lambda x: (-x[2], -len(x[0]), x[0]))
+    number = {e: k for k, (e, _, _) in enumerate(candidates)}
+
+    def holding():
+        def one(text):
+            return (sorted(k for e in features(text) if (k := number.get(e)) is not None),)
+
+        return lambda texts: [one(t) for t in texts]
+
+    held = scan(drawn.select("toxic", "text"), holding, "entries array<int>").where(F.size("entries") > 0)
+    rows = [(r["toxic"], r["entries"]) for r in held.select("toxic", "entries").collect()]
+    lexicon = {candidates[k][0]: candidates[k][1] for k in explaining(
+        [e for e, _, _ in candidates], rows, counts[1] / sum(counts.values()), bar)}
 
     def pairs():
         found = automaton(lexicon, [])
