@@ -123,6 +123,8 @@ DRILLDOWNS: dict[str, Query] = {
     "build_rr_query_links": _on_data(lambda t: derive.build_rr_query_links(_build_rr(t), t.samples)),
     "merge_spans": _on_data(lambda t: derive.extend_root_requests(*[
         derive.build_root_requests(part, t.sessions, AS_OF, LOOKBACK_SECONDS) for part in _cut(t.samples)])),
+    "merge_links": _on_data(lambda t: derive.link_durations(derive.merge_links(*[
+        derive.link_spans(_build_rr(t), part) for part in _cut(t.samples)]))),
     "session_info": _on_data(lambda t: drilldown.session_info(t.sessions)),
     "session_rr": _on_data(lambda t: drilldown.session_rr(_rr(t), t.sessions)),
     "session_queries": _on_data(lambda t: drilldown.session_queries(_rr(t), _links(t), t.queries, t.sessions)),

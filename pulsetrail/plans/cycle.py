@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 
 from ..functions import moment
 from ..operators import state as st
+from ..operators.filters import lookback
 from ..schemas import TABLES
 from ..sources.seeds import seed_queries
 from ..sources.tables import VersionedTables
-from . import collect
+from . import collect, derive
 
 # natural keys behind the display numbers of append-only tables
 _NUMBERED = {"database_log": ["datid", "log_host", "log_dt"], "query_log": [*st.STATEMENT_KEY, "log_dt"],
@@ -114,6 +115,42 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of) -> di
     return written
 
 
+REQUEST_SCHEMA = "sess_id long, rr_uuid string, rr_min_dt timestamp_ntz, rr_max_dt timestamp_ntz"
+LINK_SCHEMA = "rr_uuid string, queryid long, qurr_start_dt timestamp_ntz, qurr_end_dt timestamp_ntz"
+
+
+def run_derive(tables: VersionedTables, host: str, as_of, seconds: int = 3600, batch: int | None = None) -> dict[str, int]:
+    """Derive requests and links from the samples of the look-back and the stored sessions. A run appends the spans it
+    saw, in its own batch; `requests` and `links` fold them, so later runs widen what earlier ones found. Running a batch
+    again replaces it. Returns the rows appended."""
+    samples = tables.read_all("sample_log", SAMPLE_LOG)
+    found = derive.build_root_requests(samples, validity_table(tables, "session_mst"), as_of, seconds).persist()
+    recent = lookback(samples, "sample_time", as_of, seconds)
+    result = collect.Collected("derive", append={"root_request_mst": found,
+                                                 "root_request_query_lnk": derive.link_spans(found, recent)})
+    try:
+        return collect.commit(result, tables, host, as_of, batch)
+    finally:
+        found.unpersist()
+
+
+def requests(tables: VersionedTables) -> DataFrame:
+    """Root requests as of the last derivation."""
+    spans = tables.read_all("root_request_mst", _parsed(REQUEST_SCHEMA))
+    return derive.extend_root_requests(spans, spans.limit(0))
+
+
+def links(tables: VersionedTables) -> DataFrame:
+    """Statements in requests as of the last derivation."""
+    spans = tables.read_all("root_request_query_lnk", _parsed(LINK_SCHEMA))
+    return derive.link_durations(derive.merge_links(spans, spans.limit(0)))
+
+
+def _parsed(columns: str) -> T.StructType:
+    kinds = {"long": T.LongType(), "string": T.StringType(), "timestamp_ntz": T.TimestampNTZType()}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (c.split(" ") for c in columns.split(", "))])
+
+
 def _hosts(exports: Exports, as_of) -> collect.Collected:
     result = collect.collect_hosts(exports.host_lines, exports.local_tablets)
     result.append["host_log"] = st.with_key(result.append["host_log"].withColumn("log_dt", moment(as_of)),

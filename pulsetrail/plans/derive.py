@@ -58,6 +58,26 @@ def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: Da
     return out if known is None else only_new(out, known, ["rr_uuid", "queryid"])
 
 
+def link_spans(root_requests: DataFrame, samples: DataFrame) -> DataFrame:
+    """First and last sample of each statement in each request: rr_uuid, queryid, qurr_start_dt, qurr_end_dt. Spans of
+    parts of the samples can be merged, durations cannot."""
+    seen = of_days(samples, root_requests).filter(F.col("query_id").isNotNull())
+    spans = span(seen, ["root_request_id", "query_id"], "sample_time", "qurr_start_dt", "qurr_end_dt")
+    return samples_of(spans, root_requests).select(F.col("root_request_id").alias("rr_uuid"),
+                                                   F.col("query_id").alias("queryid"), "qurr_start_dt", "qurr_end_dt")
+
+
+def merge_links(known: DataFrame, batch: DataFrame) -> DataFrame:
+    """Link spans widened by those of a later batch, plus the new ones."""
+    return merge_spans(known, batch, ["rr_uuid", "queryid"], "qurr_start_dt", "qurr_end_dt")
+
+
+def link_durations(spans: DataFrame) -> DataFrame:
+    """Links as reports read them: the duration in ms follows from the span."""
+    return spans.select("rr_uuid", "queryid", "qurr_start_dt",
+                        millis_rounded(F.col("qurr_start_dt"), F.col("qurr_end_dt")).alias("dur_ms"))
+
+
 def extend_root_requests(known: DataFrame, batch: DataFrame) -> DataFrame:
     """Known requests widened by the spans of a later batch, plus the new ones."""
     return merge_spans(known, batch, ["sess_id", "rr_uuid"], "rr_min_dt", "rr_max_dt")

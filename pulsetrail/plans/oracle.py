@@ -449,6 +449,7 @@ QUERIES = {
           AND usesysid IS NOT NULL GROUP BY 1, 2""",
     "build_rr_query_links": "SELECT * FROM links",
     "merge_spans": "SELECT * FROM rr",
+    "merge_links": "SELECT * FROM links WHERE queryid IS NOT NULL",
     "session_info": f"""
         SELECT id AS sess_id, host, pid, app_name, substr(client_addr||':'||client_port, 1, 25) AS client_info,
                strftime(backend_start, '%H:%M:%S') AS sess_start, {_seconds3('backend_start', 'gone_dt')} AS dur_secs

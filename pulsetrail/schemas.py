@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The names below are the fixed column names of the exports and of the history tables.
 _TYPES = {
     "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "float": T.FloatType(),
     "string": T.StringType(), "bool": T.BooleanType(), "binary": T.BinaryType(), "date": T.DateType(),

@@ -101,3 +101,21 @@ def test_reports_read_the_days_they_need(spark, folder, tmp_path):
                tree.event_tree(rr, links, t.queries, log, t.tablets, t.sessions),
                tree.events_per_pid_list(rr, links, log, t.sessions)):
         assert "dynamicpruning" in _plan(df)
+
+
+def test_derivation_in_parts_equals_one_pass(spark, folder, tmp_path):
+    from pulsetrail.plans import cycle
+    from pulsetrail.sources.tables import VersionedTables
+    sessions, samples = _reused(spark)
+    samples = samples.withColumns({"host": F.lit("h"), "rpc_request_id": F.lit(0), "wait_event": F.lit("w"), "day": F.to_date("sample_time")})
+    results = []
+    for name, moments in (("one", ["2024-01-21 00:00:00"]), ("parts", [f"2024-01-{k:02d} 12:00:01" for k in range(2, 22)])):
+        tables = VersionedTables(spark, str(tmp_path / name))
+        tables.replace("session_mst", cycle.conform(sessions, "session_mst"))
+        tables.add("sample_log", cycle.conform(samples, "sample_log"), 0, ["day"])
+        for k, moment in enumerate(moments[::5] + moments[-1:] if name == "parts" else moments):
+            cycle.run_derive(tables, "h", moment, 21 * 86400, batch=k)
+            cycle.run_derive(tables, "h", moment, 21 * 86400, batch=k)       # a repeated run changes nothing
+        results.append((sorted(map(tuple, cycle.requests(tables).collect())), sorted(map(tuple, cycle.links(tables).collect()))))
+    assert results[0] == results[1] and len(results[0][0]) == 20 and len(results[0][1]) == 20
+    assert {r[3] for r in results[0][1]} == {2000}
