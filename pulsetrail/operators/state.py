@@ -126,35 +126,43 @@ def new_queries(queries: DataFrame, samples: DataFrame, activity: DataFrame, sta
     """Statements not yet known, each from the first source that shows it: recent samples (id only), activity,
     statement statistics. Several texts can share an id; the smallest is taken.
 
-    Every source is folded to one row per id and tagged; the smallest tag wins, so each is read once and the
-    known statements are looked up once. The extra column `source` says where a row came from.
+    Ids come first: every source is folded to one row per id without its text and tagged, the smallest tag wins, and the
+    known statements are taken off. Texts are then read for what is left only. The extra column `source` says where a row
+    came from.
     """
-    columns = ["log_dt", "log_tsrv", "log_host", "query"]
+    columns = ["log_dt", "log_tsrv", "log_host"]
 
-    def folded(rows: DataFrame, key: str, when: Column, text: Column) -> DataFrame:
-        rows = rows.filter(F.col(key).isNotNull()).withColumn("__seen", when).withColumn("__text", text)
+    def folded(rows: DataFrame, key: str, when: Column) -> DataFrame:
+        rows = rows.filter(F.col(key).isNotNull()).withColumn("__seen", when)
         first = F.min(F.struct("__seen", "host", "tsrv_uuid"))
-        return rows.groupBy(F.col(key).alias("queryid")).agg(first.alias("f"), F.min("__text").alias("query")).select(
+        return rows.groupBy(F.col(key).alias("queryid")).agg(first.alias("f")).select(
             "queryid", F.col("f.__seen").alias("log_dt"), F.col("f.tsrv_uuid").alias("log_tsrv"),
-            F.col("f.host").alias("log_host"), "query")
+            F.col("f.host").alias("log_host"))
 
-    # samples carry no text: fold them to one time per statement and node first
     recent = (lookback(samples, "sample_time", as_of, seconds).groupBy("query_id", "host", "tsrv_uuid")
               .agg(F.min("sample_time").alias("sample_time")))
     parts = [
-        folded(recent, "query_id", F.col("sample_time"), F.lit(None).cast("string")),
-        folded(activity, "query_id", F.coalesce("query_start", moment(as_of)), F.col("query")),
-        folded(statements, "queryid", moment(as_of), F.col("query")),
+        folded(recent, "query_id", F.col("sample_time")),
+        folded(activity, "query_id", F.coalesce("query_start", moment(as_of))),
+        folded(statements, "queryid", moment(as_of)),
     ]
     tagged = None
     for rank, part in enumerate(parts):
         one = part.select("queryid", F.struct(F.lit(rank).alias("rank"), *columns).alias("r"))
         tagged = one if tagged is None else tagged.unionByName(one)
     best = tagged.groupBy("queryid").agg(F.min_by("r", F.col("r.rank")).alias("r"))
+    fresh = only_new(best.select("queryid", "r.rank", *[F.col(f"r.{c}").alias(c) for c in columns]), queries, ["queryid"])
+
+    # samples carry no text
+    texts = None
+    for rank, rows, key in ((1, activity, "query_id"), (2, statements, "queryid")):
+        wanted = fresh.filter(F.col("rank") == rank).select(F.col("queryid").alias("__id"))
+        one = (rows.select(F.col(key).alias("__q"), F.col("query").alias("__text"))
+               .join(wanted, F.col("__q") == F.col("__id"), "left_semi").groupBy("__q").agg(F.min("__text").alias("query")))
+        texts = one if texts is None else texts.unionByName(one)      # an id has one rank, so no id is in both
     names = F.array(*[F.lit(n) for n in SOURCES])
-    fresh = best.select("queryid", *[F.col(f"r.{c}").alias(c) for c in columns],
-                        F.element_at(names, F.col("r.rank") + 1).alias("source"))
-    return only_new(fresh, queries, ["queryid"])
+    return fresh.join(texts, fresh["queryid"] == texts["__q"], "left").select(
+        "queryid", *columns, "query", F.element_at(names, F.col("rank") + 1).alias("source"))
 
 
 def upsert_queries(queries: DataFrame, samples: DataFrame, activity: DataFrame, statements: DataFrame, as_of,
@@ -168,8 +176,10 @@ def blank_recent(queries: DataFrame, as_of, seconds: int) -> Column:
 
 def fill_query_text(queries: DataFrame, statements: DataFrame, as_of, seconds: int = 3600) -> DataFrame:
     """Recent rows with a blank text take the smallest text exported for their id (NULL if there is none)."""
-    texts = (statements.filter(F.col("query").isNotNull()).groupBy(F.col("queryid").alias("__q"))
-             .agg(F.min("query").alias("__text")))
+    blank_ones = queries.filter(blank_recent(queries, as_of, seconds)).select(F.col("queryid").alias("__id"))
+    texts = (statements.filter(F.col("query").isNotNull()).select(F.col("queryid").alias("__q"), "query")
+             .join(blank_ones, F.col("__q") == F.col("__id"), "left_semi")
+             .groupBy("__q").agg(F.min("query").alias("__text")))
     joined = queries.join(texts, queries["queryid"] == texts["__q"], "left")
     filled = F.when(F.coalesce(blank_recent(queries, as_of, seconds), F.lit(False)), F.col("__text"))
     return joined.withColumn("query", filled.otherwise(F.col("query"))).select(*queries.columns)
