@@ -295,6 +295,7 @@ def _line(keys: str, section: int, ql: str, part: int, al: str, text: str, sourc
             f"{text} AS output FROM {source}")
 
 
+# Fixed format: the line texts of the tree.
 _QL = "qurr_start_dt, queryid"
 _EVENT_TREE = " UNION ALL ".join([
     _line(_KEY_RR, 0, _NO_QL, 0, _NO_AL,
@@ -357,12 +358,14 @@ _ACTIVITY = {"application_name": "'app'||(user_id % 3)", "client_addr": "'10.0.0
              "xact_start": "last_ts", "query_start": "query_start", "state_change": "last_ts", "state": "'active'",
              "query_id": "query_id", "query": "'select '||query_id", "backend_type": "'client backend'"}
 
+# Samples are counted per server and tablet prefix before anything is joined.
 _TABLET_TOP = """
-    SELECT count(*) AS cnt, tm.host, a.wait_event_aux, tb.schema_name, tb.table_name
-    FROM samples a JOIN tablets tb ON tb.prefix = a.wait_event_aux
-    JOIN replicas tr ON tr.tsrv_uuid = a.tsrv_uuid AND tr.gone_dt IS NULL {tie}
-    JOIN servers tm ON tm.tsrv_uuid = tr.tsrv_uuid
-    WHERE {interval} GROUP BY 2, 3, 4, 5 ORDER BY cnt DESC, host, wait_event_aux, schema_name, table_name LIMIT 20"""
+    WITH counted AS (SELECT tsrv_uuid, wait_event_aux, count(*) AS n FROM samples WHERE {interval} GROUP BY ALL),
+    held AS (SELECT tsrv_uuid, tblt_uuid FROM replicas WHERE gone_dt IS NULL)
+    SELECT CAST(sum(n) AS BIGINT) AS cnt, servers.host, wait_event_aux, schema_name, table_name
+    FROM counted JOIN held USING (tsrv_uuid) JOIN servers USING (tsrv_uuid)
+    JOIN tablets ON tablets.prefix = wait_event_aux {tie}
+    GROUP BY ALL ORDER BY cnt DESC, host, wait_event_aux, schema_name, table_name LIMIT 20"""
 
 _INVENTORY = ["customer", "documents", "events", "labels", "lineitem", "orders", "pages", "part", "supplier"]
 
@@ -385,7 +388,7 @@ QUERIES = {
     "busiest_events": f"""
         SELECT count(*) AS cnt, wait_event_class, wait_event_type, wait_event AS busiest_event, host AS per_host
         FROM samples WHERE {INTERVAL} GROUP BY 2, 3, 4, 5 ORDER BY cnt DESC, 2, 3, 4, 5 LIMIT 40""",
-    "busiest_tablets": _TABLET_TOP.format(tie="AND tr.tblt_uuid = tb.tblt_uuid", interval=INTERVAL),
+    "busiest_tablets": _TABLET_TOP.format(tie="AND tablets.tblt_uuid = held.tblt_uuid", interval=INTERVAL),
     "busiest_tablets_as_written": _TABLET_TOP.format(tie="", interval=INTERVAL),
     "top_queries": f"""
         SELECT count(*) AS cnt_ashev, count(DISTINCT root_request_id) AS nr_rreq, query_id AS top_qry, q.query
