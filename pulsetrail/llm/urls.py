@@ -120,11 +120,11 @@ def judged(pages: DataFrame) -> DataFrame:
     sums = [F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed")]
     own = branches.groupBy("host", "branch").agg(*sums)
     everywhere = own.groupBy("branch").agg(F.sum("blocked").alias("b2"), F.sum("allowed").alias("a2"))
-    overall = own.agg(F.sum("blocked").alias("b3"), F.sum("allowed").alias("a3"))        # one row
+    overall = own.agg(*sums).first()        # two numbers
     smooth = lambda b, a, prior: (b + PRIOR * prior) / (a + b + PRIOR)
-    p3 = smooth(F.coalesce("b3", F.lit(0)), F.coalesce("a3", F.lit(0)), F.lit(0.5))
-    p2 = smooth(F.col("b2"), F.col("a2"), F.col("p3"))
-    purity = (own.join(everywhere, "branch").join(F.broadcast(overall.select(p3.alias("p3"))))
+    p3 = smooth(overall["blocked"] or 0, overall["allowed"] or 0, 0.5)
+    p2 = smooth(F.col("b2"), F.col("a2"), F.lit(p3))
+    purity = (own.join(everywhere, "branch")
               .select("host", "branch", smooth(F.col("blocked"), F.col("allowed"), p2).alias("purity")))
     names = counted.select("host", "raw", "template").distinct()
     return (names.join(branches.select("host", "template", "branch"), ["host", "template"])
