@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsetrail.llm.common import fold, scan
+from pulsetrail.session import run_folder
 
 SAMPLE = 30_000
 ENTRIES = 5_000
@@ -34,7 +35,7 @@ THRESHOLD = 0.7
 # Characters that look like or stand for a Latin letter.
 LOOKALIKES = {
     "a": "4@αаɑ", "b": "8вЬ", "c": "(сϲ¢", "e": "3еε€", "g": "9ɡ", "h": "һн", "i": "1!|lіιӏ", "j": "ј", "k": "кκ",
-    "m": "м", "n": "пη", "o": "0оοσ", "p": "рρ", "s": "5$ѕ", "t": "7+тτ", "u": "υ", "v": "ѵν", "w": "ԝω", "x": "хχ×",
+    "m": "м", "n": "пη", "o": "0оοσ", "p": "рρ", "r": "г", "s": "5$ѕ", "t": "7+тτ", "u": "υ", "v": "ѵν", "w": "ԝω", "x": "хχ×",
     "y": "уγү", "z": "2",
 }
 
@@ -121,12 +122,12 @@ def automaton(entries: dict[str, float], exceptions: list[str]):
     return found
 
 
-def weigh(text: str | None, found) -> tuple[float, int, int]:
-    """Total weight, number of words hit and number of words. Of the entries in one word the heaviest counts."""
+def weigh(text: str | None, found) -> tuple[float, int, int, float]:
+    """Total weight, number of words hit, number of words and the heaviest entry. Of the entries in one word the heaviest counts."""
     line = words_of(text)
     n = line.count(" ") - 1
     if not len(found):
-        return 0.0, 0, n
+        return 0.0, 0, n, 0.0
     hits: dict[int, float] = {}
     free: list[tuple[int, int]] = []
     for last, (length, weight) in found.iter(line):
@@ -138,12 +139,12 @@ def weigh(text: str | None, found) -> tuple[float, int, int]:
     for a, b in free:
         for k in [k for k in hits if a <= k < b]:
             del hits[k]
-    return sum(hits.values()), len(hits), n
+    return sum(hits.values()), len(hits), n, max(hits.values(), default=0.0)
 
 
-def signals(total: float, hits: int, n: int) -> tuple[float, float, float]:
-    """Inputs of the curve: weight by length, damped weight, and whether anything was found."""
-    return 10 * total / (n + 20), float(np.log1p(total)), float(hits > 0)
+def signals(total: float, hits: int, n: int, strongest: float) -> tuple[float, float, float]:
+    """Inputs of the curve: weight by length, weight as such up to a bound, and the heaviest entry."""
+    return 10 * total / (n + 20), min(total, 30.0) / 10, strongest / 10
 
 
 def explaining(entries: list[str], rows: list[tuple[int, list[int]]], share: float, bar: float) -> list[int]:
@@ -177,8 +178,8 @@ class Model:
     def __init__(self, entries: dict[str, float], exceptions: list[str], curve: list[float]):
         self.entries, self.exceptions, self.curve = entries, exceptions, curve
 
-    def score(self, total: float, hits: int, n: int) -> float:
-        z = self.curve[0] + sum(a * b for a, b in zip(self.curve[1:], signals(total, hits, n)))
+    def score(self, total: float, hits: int, n: int, strongest: float) -> float:
+        z = self.curve[0] + sum(a * b for a, b in zip(self.curve[1:], signals(total, hits, n, strongest)))
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
@@ -196,21 +197,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
     return w.tolist()
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> Model:
-    """A model from (doc_id, text, toxic). Bounded by the two parameters, at most `entries` entries and pairs, and about
-    `sample` rows with the numbers of their entries, come to the driver."""
-    labelled = labelled.where(F.col("toxic").isin(0, 1))
-    sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    none = Model({}, [], [-3.0, 0.0, 0.0, 0.0])
-    if len(sizes) < 2:
-        return none
-    share = min(1.0, sample / sum(sizes.values()))
-    drawn = labelled.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000) \
-        .select("doc_id", "toxic", "text")
-    ends = drawn.groupBy("toxic").agg(F.count("*").alias("n")).collect()
-    counts = {r["toxic"]: r["n"] for r in ends}
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(toxic, text) of about `sample` labelled documents, written once. The ids are drawn before any text is read, and
+    go to the texts: a broadcast of bounded size, while no text is shuffled."""
+    known = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
+    share = min(1.0, sample / max(1, known.count()))
+    drawn = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000)
+    folder = run_folder(docs.sparkSession, "toxicity")
+    docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("toxic", "text").write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
+
+
+def fit(drawn: DataFrame, entries: int = ENTRIES) -> Model:
+    """A model from a bounded sample of (toxic, text). At most `entries` entries and pairs, and the rows' labels with the
+    numbers of their entries, come to the driver."""
+    counts = {r["toxic"]: r["n"] for r in drawn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
-        return none
+        return Model({}, [], [-3.0, 0.0, 0.0, 0.0])
 
     def start():
         return lambda texts: [(sorted(features(t)),) for t in texts]
@@ -270,16 +273,16 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> Mo
         found = automaton(lexicon, exceptions)
         return lambda texts: [weigh(t, found) for t in texts]
 
-    rows = scan(drawn.select("toxic", "text"), weights, FOUND).select("toxic", "weight", "hits", "words").collect()
-    x = np.array([signals(r["weight"], r["hits"], r["words"]) for r in rows])
+    rows = scan(drawn.select("toxic", "text"), weights, FOUND).select("toxic", "weight", "hits", "words", "heaviest").collect()
+    x = np.array([signals(r["weight"], r["hits"], r["words"], r["heaviest"]) for r in rows])
     return Model(lexicon, exceptions, logistic(x, np.array([float(r["toxic"]) for r in rows])))
 
 
-FOUND = "weight double, hits int, words int"
+FOUND = "weight double, hits int, words int, heaviest double"
 
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds weight, hits, words and toxicity (0 to 1)."""
+    """Adds weight, hits, words, heaviest and toxicity (0 to 1)."""
     sent = df.sparkSession.sparkContext.broadcast((model.entries, model.exceptions, model.curve))
 
     def start():
@@ -292,8 +295,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, weight, hits; one row per input row."""
-    known = labels.where(fold("doc_id", 3) != 1).select("doc_id", "toxic").where(F.col("toxic").isNotNull()).distinct()
-    model = fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    model = fit(labelled_sample(docs, labels.where(fold("doc_id", 3) != 1)))
     out = score(docs.select("doc_id", "text"), model)
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), F.col("toxicity").alias("score"),
                       (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"), "weight", "hits")
