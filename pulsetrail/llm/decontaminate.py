@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsetrail.llm.common import scan, wrapped
+from pulsetrail.session import run_folder
 
 WINDOW = 10
-PART_BYTES = 32_000_000
+PART_BYTES = 3_000_000      # an automaton takes some fifty times this
 
 # Bytes of UTF-8: A-Z to a-z, other ASCII that is no digit or letter to a blank, the rest as it is.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -121,7 +122,11 @@ def find(df: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_bytes: in
                      .withColumn("spans", union_of("spans_", "spans", "start", "end"))
                      .withColumn("items", F.array_sort(F.array_union("items_", "items")))
                      .drop("runs_", "spans_", "items_"))
-        out = found if k == parts - 1 else found.withColumnsRenamed({c: f"{c}_" for c in ("runs", "spans", "items")})
+        if k < parts - 1:  # written, so that one automaton is in memory at a time
+            folder = run_folder(df.sparkSession, "decontamination")
+            found.withColumnsRenamed({c: f"{c}_" for c in ("runs", "spans", "items")}).write.parquet(folder)
+            found = df.sparkSession.read.parquet(folder)
+        out = found
     of.unpersist()
     return out
 
