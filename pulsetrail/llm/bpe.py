@@ -27,7 +27,7 @@ from pulsetrail.llm.common import scan
 LEAF_CHARS = 8192     # texts up to this length are split in one go
 LEAF_BYTES = 32       # pieces up to this length are merged in one go
 LEAF_IDS = 4096       # ids decoded in one go
-CACHE = 400_000       # remembered blocks per task
+CACHE = 120_000       # entries of a generation of remembered results per task
 NONE = 1 << 40        # above any rank
 
 # Unicode's White_Space characters.
@@ -156,16 +156,19 @@ class ByteBpe:
 
 
 class _Known(dict):
-    """Results by text; emptied when full. Long texts are not kept."""
+    """Results by text in two generations: a full one becomes the older one, from which what is used again is taken over.
+    Long texts are not kept."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, text: str) -> bytes:
-        made = self.make(text)
+        if (made := self.older.get(text)) is None:
+            made = self.make(text)
         if len(text) <= 64:
             if len(self) >= CACHE:
+                self.older = dict(self)
                 self.clear()
             self[text] = made
         return made
@@ -218,8 +221,19 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> Da
     return scan(df, start, "decoded binary", ids)
 
 
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """Adds `ids` and `decoded`, the bytes decoded from these ids, in one scan: each task holds one vocabulary."""
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def start():
+        bpe = ByteBpe(ranks.value, pattern)
+        return lambda texts: [(ids := bpe.encode(t), bpe.decode(ids)) for t in texts]
+
+    return scan(df, start, "ids binary, decoded binary", text)
+
+
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256; one row per input row."""
-    both = decode(encode(docs.select("doc_id", "text"), ranks_path, pattern).drop("text"), ranks_path, pattern)
-    return both.select("doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(docs.select("doc_id", "text"), ranks_path, pattern).select(
+        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
