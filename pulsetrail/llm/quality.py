@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule compares one measure of a text with a cutoff and rejects beyond it. Cutoffs are certified on labelled
-documents: for a stratum of text lengths, a rule and a cutoff, the hypothesis "more than `RISK` of the good documents
+documents, all of them: for a stratum of text lengths, a rule and a cutoff, the hypothesis "more than `RISK` of the good documents
 are rejected" is tested by the exact binomial tail of the good documents that are rejected. Only cutoffs whose p-value
 is at most `ERROR` over the number of tests (strata x rules x cutoffs) may be used, so that with probability 1 - ERROR
 all of them keep the promise. Of the certified cutoffs of a rule the one that rejects most bad documents, less `PRICE`
@@ -24,7 +24,6 @@ RISK = 0.01
 ERROR = 0.05
 PRICE = 5
 STRATA = (100, 1000)          # texts up to 100 words, up to 1000, longer ones
-LABELLED = 200_000            # labelled documents used at most, about; drawn by a hash of their id
 # Measures and the cutoffs tried, from lenient to strict. A text is rejected if the measure is above the cutoff.
 CUTOFFS = {
     "symbol_rate": (1.0, 0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01),
@@ -131,10 +130,7 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     measures(docs.select("doc_id", "text")).drop("text").write.parquet(folder)
     measured = spark.read.parquet(folder)
     known = labels.select("doc_id", "quality").where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-    n = known.count()
-    share = min(1.0, LABELLED / max(1, n))
-    drawn = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000)
-    chosen = cutoffs(certify(measured.join(drawn.distinct(), "doc_id")))
+    chosen = cutoffs(certify(measured.join(known.distinct(), "doc_id")))
     out = measured.withColumn("stratum", stratum()).join(F.broadcast(chosen), "stratum", "left")   # a row per stratum
     hit = F.array_compact(F.array(*[F.when(rate > F.col(rule), F.lit(rule)) for rule, rate in rates().items()]))
     return out.withColumn("rejected_by", F.array_join(hit, ",")).select(
