@@ -66,6 +66,12 @@ def automaton():
     return found
 
 
+def is_byte(digits: str) -> bool:
+    """A number of any length is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
 def spans(text: str | None, found) -> list[tuple[int, int, int]]:
     """(start, kind's number, end), sorted. Of each kind the spans are leftmost and do not overlap."""
     text = text or ""
@@ -85,7 +91,7 @@ def spans(text: str | None, found) -> list[tuple[int, int, int]]:
             start = max(at, over["ip"])         # a match may have ended inside this run
             if start < over["run"] and (m := DOTTED.match(text, start)):
                 over["ip"] = m.end()
-                if all(int(x) <= 255 for x in m[0].split(".")):
+                if all(is_byte(x) for x in m[0].split(".")):
                     take("ip", start, m.end())
             if at >= over["card"] and (m := CHAIN.match(text, at)):
                 over["card"] = m.end()
