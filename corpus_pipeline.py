@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm import bpe, decontaminate, langid, near, pii
+from pulsetrail.llm import bpe, decontaminate, langid, pii, simhash
 from pulsetrail.llm.common import table
 from pulsetrail.session import run_folder
 
@@ -19,8 +19,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates: five-word shingles, four fifths shared."""
-    return near.one_each(docs)
+    """Keeps the document with the smallest id of each group of near-duplicates: SimHash of three-word shingles, linked at
+    two or fewer differing bits."""
+    return simhash.one_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs every stage and returns the rows of the last; the jobs run while this is called."""
     docs, base = table(spark, sf_dir, "documents"), run_folder(spark, "corpus")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
