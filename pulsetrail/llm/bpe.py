@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,9 +24,10 @@ from pyspark.sql import functions as F
 from pulsetrail.llm.common import scan
 
 LEAF_CHARS = 8192     # texts up to this length are split in one go
+LEAF_BLOCKS = 1024    # blocks whose matches are found in one go
 LEAF_BYTES = 32       # pieces up to this length are merged in one go
 LEAF_IDS = 4096       # ids decoded in one go
-CACHE = 120_000       # entries of a generation of remembered results per task
+CACHE = 400_000       # entries of a generation of remembered results per task
 NONE = 1 << 40        # above any rank
 
 # Unicode's White_Space characters.
@@ -58,7 +58,7 @@ class ByteBpe:
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.fit: dict[tuple[int, int], bool] = {}
-        self.known, self.parts = _Known(self.block), _Known(self.part)
+        self.parts = _Known(self.part)
 
     def merge(self, data: bytes) -> list[int]:
         """The merges by rank, leftmost first, over the whole of `data`; O(n log n)."""
@@ -125,15 +125,11 @@ class ByteBpe:
         half = len(data) // 2
         return self.join(self.piece(data[:half]), self.piece(data[half:]))
 
-    def block(self, text: str) -> bytes:
-        """Packed ids of a block."""
-        return b"".join(map(self.parts.__getitem__, self.pieces(text)))
-
     def part(self, text: str) -> bytes:
         """Packed ids of a match of the pattern; one that is a token is this token."""
         data = text.encode()
         whole = self.ranks.get(data)
-        return np.array([whole] if whole is not None else self.piece(data), "<u4").tobytes()
+        return whole.to_bytes(4, "little") if whole is not None else np.array(self.piece(data), "<u4").tobytes()
 
     def split(self, text: str) -> list[str]:
         """Blocks of the text."""
@@ -142,38 +138,52 @@ class ByteBpe:
         half = len(text) // 2
         return join_blocks(self.split(text[:half]), self.split(text[half:]))
 
+    def leaves(self, text: str) -> list[str]:
+        """The text cut at borders of blocks into runs of blocks; matches of the pattern stay whole."""
+        if len(text) <= LEAF_CHARS:
+            return [text]
+        cut = self.split(text)
+        return ["".join(cut[i:i + LEAF_BLOCKS]) for i in range(0, len(cut), LEAF_BLOCKS)]
+
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.known.__getitem__, self.split(text or "")))
+        return b"".join([x for leaf in self.leaves(text or "") for x in map(self.parts.now.__getitem__, self.pieces(leaf))])
 
     def decode(self, ids: bytes | None) -> bytes:
-        return self._decode(array("I", ids or b"")) if array("I").itemsize == 4 else b""
+        return self._decode(np.frombuffer(ids or b"", "<u4").tolist())
 
-    def _decode(self, ids: array) -> bytes:
+    def _decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF_IDS:
             return b"".join(map(self.bytes_of.__getitem__, ids))
         half = len(ids) // 2
         return self._decode(ids[:half]) + self._decode(ids[half:])
 
 
-class _Known(dict):
+class _Known:
     """Results by text in two generations: a full one becomes the older one, from which what is used again is taken over.
     Long texts are not kept."""
 
     def __init__(self, make):
-        super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.older, self.now = make, {}, _Generation(self)
 
-    def __missing__(self, text: str) -> bytes:
+    def look(self, text: str) -> bytes:
         if (made := self.older.get(text)) is None:
             made = self.make(text)
         if len(text) <= 64:
-            if len(self) >= CACHE:
-                self.older = dict(self)
-                self.clear()
-            self[text] = made
+            if len(self.now) >= CACHE:
+                self.older, self.now = self.now, _Generation(self)
+            self.now[text] = made
         return made
 
 
+class _Generation(dict):
+    def __init__(self, known: _Known):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, text: str) -> bytes:
+        return self.known.look(text)
+
+
 def join_blocks(a: list[str], b: list[str]) -> list[str]:
     """Blocks of a text from those of its halves."""
     if not a or not b:
