@@ -135,7 +135,9 @@ def first_of_each(texts: DataFrame) -> DataFrame:
 def misses(contents: DataFrame, known: DataFrame) -> DataFrame:
     """(digest, text) of each distinct content without a stored count, once."""
     wanted = contents.select("digest").distinct().join(known.select("digest"), "digest", "left_anti")
-    found = spread_join(first_of_each(contents), wanted, "digest", "left_semi")
+    # A plain join: its layout by digest serves the fold as well, so texts move once; where few are wanted, Spark broadcasts
+    # these and only their texts move.
+    found = first_of_each(contents).join(wanted, "digest", "left_semi")
     return found.groupBy("digest").agg(F.any_value("text").alias("text"))
 
 
