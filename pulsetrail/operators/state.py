@@ -249,15 +249,23 @@ def load_samples(log: DataFrame, batch: DataFrame) -> DataFrame:
     return only_new(rows, log, SAMPLE_KEY)
 
 
-def log_of_days(log: DataFrame, batch: DataFrame, day: str = "day") -> DataFrame:
-    """The partitions of the log that the batch can touch, that of samples without a time among them. The batch's days
-    come to the driver, a handful, and go back as literals that prune the scan."""
-    days = [r[0] for r in batch.select(F.to_date("sample_time").alias("d")).distinct().collect()]
-    known = [F.col(day) == F.lit(d) for d in days if d is not None] + [F.col(day).isNull()] * (None in days)
+def days_of(batch: DataFrame) -> list:
+    """The days of a batch of samples, None for samples without a time; a handful, they come to the driver."""
+    return [r[0] for r in batch.select(F.to_date("sample_time").alias("d")).distinct().collect()]
+
+
+def on_days(day: str, days: Sequence) -> Column:
+    """True for the given days, with literals that prune a scan; None stands for rows without a day."""
     wanted = F.lit(False)
-    for test in known:
-        wanted = wanted | F.coalesce(test, F.lit(False)) if None in days else wanted | test
-    return log.filter(wanted)
+    for d in days:
+        wanted = wanted | (F.col(day).isNull() if d is None else F.coalesce(F.col(day) == F.lit(d), F.lit(False))
+                           if None in days else F.col(day) == F.lit(d))
+    return wanted
+
+
+def log_of_days(log: DataFrame, batch: DataFrame, day: str = "day") -> DataFrame:
+    """The partitions of the log that the batch can touch, that of samples without a time among them."""
+    return log.filter(on_days(day, days_of(batch)))
 
 
 def distinct_events(samples: DataFrame) -> DataFrame:

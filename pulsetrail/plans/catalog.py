@@ -292,7 +292,7 @@ def _late(spark: SparkSession, folder: str) -> DataFrame:
 def _distinct(spark: SparkSession, folder: str) -> DataFrame:
     schema = TestData(spark, folder).samples.schema
     tables = _batches(spark, folder, sm.load_distinct(schema), "once")
-    return tables.read_all("sample_once", T.StructType([schema[k] for k in st.SAMPLE_KEY]))
+    return tables.read_all("sample_once", schema)
 
 
 STREAMS: dict[str, Query] = {

@@ -1,7 +1,8 @@
 """Collection jobs: compositions of the state operators, each giving its tables and its counts.
 
-A job is lazy. `Collected.counts` reports rows per step as a DataFrame; `commit` writes the tables, counts what was
-written from the file footers, and appends a row to the run log.
+A job is lazy. `Collected.counts` reports rows per step as a DataFrame; `stage` writes the tables inside a transaction and
+counts what was written from the file footers, `commit` does so for a single job. `notes` are counts for the run log that
+belong to no table, such as lines that did not fit.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import moment, whole_seconds
 from ..operators import state as st
 from ..operators.joins import kv_to_row, merge_columns, only_new
-from ..sources.tables import VersionedTables
+from ..sources.store import Transaction, VersionedTables
 from ..sources.text import (normalise_listing, parse_kv, parse_masters, parse_server_metrics, parse_tservers,
                             parse_universe)
 
@@ -34,6 +35,7 @@ class Collected:
     append: dict[str, DataFrame] = field(default_factory=dict)
     steps: dict[str, DataFrame] = field(default_factory=dict)
     partitions: dict[str, list[str]] = field(default_factory=dict)
+    notes: dict[str, int] = field(default_factory=dict)
 
     def counts(self) -> DataFrame:
         """component, step, n_rows."""
@@ -54,19 +56,29 @@ def run_log_row(spark: SparkSession, component: str, host: str, logged_dt, ela_m
                                  F.lit(info).alias("info_txt"))
 
 
-def commit(result: Collected, tables: VersionedTables, host: str, as_of, batch: int | None = None) -> dict[str, int]:
-    """Write a job's tables and its run-log row; returns the rows written per table."""
+def stage(result: Collected, tx: Transaction, host: str, as_of, batch: int | None = None) -> tuple[dict[str, int], DataFrame]:
+    """Write a job's tables inside a transaction. Returns the rows written per table and the job's run-log row."""
     started, written = time.monotonic(), {}
-    # What leaves a table is appended before the table without it is published: a failure between the two leaves rows in
-    # both parts, which the repeated cycle puts right, and never in neither.
     for name, df in [*result.append.items(), *result.replace.items()]:
         if name in result.replace:
-            path = tables.version_path(name, tables.replace(name, df, batch))
+            rows = tx.replace(name, df, batch, component=result.component)
         else:
-            path = tables.batch_path(name, tables.add(name, df, batch, result.partitions.get(name, ())))
-        written[name] = tables.spark.read.schema(df.schema).parquet(path).count()
+            rows = tx.add(name, df, batch, result.partitions.get(name, ()), component=result.component)
+        written[name] = rows.count()
     elapsed = (time.monotonic() - started) * 1000
-    tables.add("run_log", run_log_row(tables.spark, result.component, host, as_of, elapsed, written), None)
+    return written, run_log_row(tx.spark, result.component, host, as_of, elapsed, {**written, **result.notes})
+
+
+def commit(result: Collected, tables: VersionedTables, host: str, as_of, batch: int | None = None) -> dict[str, int]:
+    """Write a job's tables and its run-log row, published together; returns the rows written per table. A batch that was
+    written before is left as it is."""
+    cycle = None if batch is None else f"{result.component}/{batch}"
+    tables.refresh()
+    if cycle is not None and tables.done(cycle):
+        return tables.counts(cycle).get(result.component, {})
+    with tables.transaction(cycle) as tx:
+        written, row = stage(result, tx, host, as_of, batch)
+        tx.add("run_log", row)
     return written
 
 

@@ -18,12 +18,12 @@ from ..operators import state as st
 from ..operators.filters import lookback
 from ..schemas import TABLES
 from ..sources.seeds import seed_queries
-from ..sources.tables import VersionedTables
+from ..sources.store import VersionedTables
 from . import collect, derive
 
 # natural keys behind the display numbers of append-only tables
 _NUMBERED = {"database_log": ["datid", "log_host", "log_dt"], "query_log": [*st.STATEMENT_KEY, "log_dt"],
-             "event_mst": ["wait_event_component", "wait_event"]}
+             "event_mst": ["wait_event_component", "wait_event"], "run_log": ["logged_dt", "log_host", "component"]}
 SAMPLE_LOG = T.StructType([*TABLES["sample_log"].fields, T.StructField("day", T.DateType())])
 
 
@@ -60,6 +60,18 @@ class Exports:
     samples: DataFrame
     host_lines: DataFrame | None = None
     reporting: DataFrame | None = None
+    listings: Listings | None = None
+
+
+@dataclass
+class Listings:
+    """What the admin tool says of one moment: lines (`host`, `line`) of the master and server listings, universe
+    documents (`slurp`) and server metrics."""
+
+    masters: DataFrame
+    servers: DataFrame
+    universe: DataFrame
+    metrics: DataFrame
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -81,13 +93,22 @@ def _queries(tables: VersionedTables, as_of) -> DataFrame:
     return known
 
 
-def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of) -> dict[str, dict[str, int]]:
-    """Run all collectors and write their tables; returns the rows written per job and table."""
+def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of,
+              cycle: str | None = None) -> dict[str, dict[str, int]]:
+    """Run all collectors and publish their tables in one commit; returns the rows written per job and table.
+
+    `cycle` names the collection, by default with host and moment. A cycle that was published is not run again, and one
+    that failed has changed nothing, so it can be repeated as it is.
+    """
+    cycle = cycle or f"{host} at {as_of}"
+    tables.refresh()
+    if tables.done(cycle):
+        return tables.counts(cycle)
     read = lambda name: tables.read(name, TABLES[name])
 
     def samples() -> collect.Collected:
-        log = tables.read_all("sample_log", SAMPLE_LOG)
-        result = collect.collect_samples(st.log_of_days(log, exports.samples), exports.samples)
+        log = tables.read_all("sample_log", SAMPLE_LOG, days=st.days_of(exports.samples))
+        result = collect.collect_samples(log, exports.samples)
         result.append["sample_log"] = result.append["sample_log"].withColumn("day", F.to_date("sample_time"))
         result.partitions["sample_log"] = ["day"]
         return result
@@ -105,13 +126,20 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of) -> di
     ]
     if exports.host_lines is not None:
         jobs.append(lambda: _hosts(exports, as_of))
-    written = {}
-    for job in jobs:
-        result = job()
-        split_closed(result)
-        result.replace = {name: conform(df, name) for name, df in result.replace.items()}
-        result.append = {name: conform(df, name) for name, df in result.append.items()}
-        written[result.component] = collect.commit(result, tables, host, as_of)
+    if exports.listings is not None:
+        jobs.append(lambda: _snapshot(tables, exports.listings, host, as_of))
+    written, log = {}, None
+    with tables.transaction(cycle) as tx:
+        for job in jobs:
+            result = job()
+            if result is None:
+                continue
+            split_closed(result)
+            result.replace = {name: conform(df, name) for name, df in result.replace.items()}
+            result.append = {name: conform(df, name) for name, df in result.append.items()}
+            written[result.component], row = collect.stage(result, tx, host, as_of)
+            log = row if log is None else log.unionByName(row)
+        tx.add("run_log", conform(log, "run_log"))
     return written
 
 
@@ -151,6 +179,22 @@ def _parsed(columns: str) -> T.StructType:
     return T.StructType([T.StructField(n, kinds[k]) for n, k in (c.split(" ") for c in columns.split(", "))])
 
 
+def _snapshot(tables: VersionedTables, listings: Listings, host: str, as_of) -> collect.Collected | None:
+    """The snapshot job behind its gate: nothing while the last snapshot is too young."""
+    header = collect.snapshot_header(tables.read_all("snapshot_log", TABLES["snapshot_log"]), host, as_of).first()
+    if header is None:
+        return None
+    told = {"snap_id": F.lit(header.id).cast("long"), "log_dt": moment(as_of), "log_host": F.lit(host)}
+    of_now = lambda df: df.withColumns(told)
+    result = collect.collect_snapshot(
+        tables.read("master_mst", TABLES["master_mst"]), tables.read("tserver_mst", TABLES["tserver_mst"]),
+        of_now(listings.masters.drop("host")), of_now(listings.servers.drop("host")), of_now(listings.universe),
+        of_now(listings.metrics).drop("log_dt", "log_host"))
+    result.append["snapshot_log"] = tables.spark.range(1).select(
+        told["snap_id"].alias("id"), *[c.alias(n) for n, c in told.items() if n != "snap_id"])
+    return result
+
+
 def _hosts(exports: Exports, as_of) -> collect.Collected:
     result = collect.collect_hosts(exports.host_lines, exports.local_tablets)
     result.append["host_log"] = st.with_key(result.append["host_log"].withColumn("log_dt", moment(as_of)),

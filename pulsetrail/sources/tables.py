@@ -1,8 +1,6 @@
 """Reading and writing history tables in Parquet.
 
-Plain Parquet has no UPDATE: a table whose rows change is written as a new version and a small manifest records
-which version is complete. Append-only tables get one sub-folder per run or stream batch, so a repeated batch
-replaces its own output and nothing else.
+Single folders are appended to, refilled and scanned here; tables that change together are kept by `sources.store`.
 """
 
 from __future__ import annotations
@@ -16,6 +14,8 @@ from pyspark.sql import types as T
 from ..functions import mega
 from ..operators.filters import starts_with_any
 from ..schemas import INPUTS, TABLES
+from ..session import run_folder
+from .store import VersionedTables, rebalanced  # noqa: F401
 
 
 def scan(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -23,15 +23,14 @@ def scan(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.schema(INPUTS.get(name) or TABLES[name]).parquet(path)
 
 
-def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows gathered by output partition, in files of even size: a large partition is split over tasks."""
-    return df.hint("rebalance", *partition_by) if partition_by else df
-
-
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Append rows and hand them back."""
-    rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
-    return df
+    """Append rows and hand back a reader of what was written: the input runs once, into a folder of its own, and the
+    table takes its rows from there."""
+    spark, written = df.sparkSession, run_folder(df.sparkSession, "appended")
+    df.write.parquet(written)
+    rows = spark.read.schema(df.schema).parquet(written)
+    rebalanced(rows, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    return rows
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -48,70 +47,6 @@ def write_report(lines: DataFrame, path: str, order: Sequence[str], text: str =
     lines.orderBy(*[F.col(c).asc_nulls_last() for c in order]).select(text).write.mode("overwrite").text(path)
 
 
-class VersionedTables:
-    """Tables under one root folder, with a manifest of completed versions."""
-
-    _MANIFEST = T.StructType([T.StructField("table", T.StringType()), T.StructField("version", T.LongType())])
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._manifest = f"{self.root}/_manifest_log"
-        self._entry("", -1).limit(0).write.mode("ignore").parquet(self._manifest)
-
-    def _entry(self, name: str, version: int) -> DataFrame:
-        return self.spark.range(0, 1, 1, 1).select(F.lit(name).alias("table"), F.lit(version).cast("long").alias("version"))
-
-    def version_path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version}"
-
-    def batch_path(self, name: str, batch: int) -> str:
-        return f"{self.root}/{name}/batch={batch}"
-
-    def _commit(self, name: str, version: int) -> None:
-        self._entry(name, version).write.mode("append").parquet(self._manifest)
-
-    def latest(self, name: str, before: int | None = None) -> int | None:
-        done = self.spark.read.schema(self._MANIFEST).parquet(self._manifest).filter(F.col("table") == name)
-        if before is not None:
-            done = done.filter(F.col("version") < before)
-        return done.agg(F.max("version")).first()[0]
-
-    def read(self, name: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-        """Newest complete version (older than `before`, if given); empty when there is none."""
-        version = self.latest(name, before)
-        if version is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.version_path(name, version))
-
-    def replace(self, name: str, df: DataFrame, version: int | None = None) -> int:
-        """Write the whole table as a new version. The version read stays in place until readers are done."""
-        if version is None:
-            latest = self.latest(name)
-            version = 0 if latest is None else latest + 1
-        df.write.mode("overwrite").parquet(self.version_path(name, version))
-        self._commit(name, version)
-        return version
-
-    def add(self, name: str, df: DataFrame, batch: int | None = None, partition_by: Sequence[str] = ()) -> int:
-        """Append the rows of one batch; writing the same batch again replaces it."""
-        if batch is None:
-            latest = self.latest(name)
-            batch = 0 if latest is None else latest + 1
-        rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(
-            self.batch_path(name, batch))
-        self._commit(name, batch)
-        return batch
-
-    def read_all(self, name: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-        """All batches of an append-only table (those before `before`, if given)."""
-        if self.latest(name, before) is None:
-            return self.spark.createDataFrame([], schema)
-        wanted = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-        rows = self.spark.read.schema(wanted).parquet(f"{self.root}/{name}")
-        rows = rows if before is None else rows.filter(F.col("batch") < before)
-        return rows.select(*schema.fieldNames())
-
-
 def table_inventory(spark: SparkSession, paths: dict[str, str], prefixes: Sequence[str]) -> DataFrame:
     """Rows, files and MB of each table whose name starts with one of `prefixes`, by name.
 
