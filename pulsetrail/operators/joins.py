@@ -130,12 +130,16 @@ def samples_of(samples: DataFrame, requests: DataFrame, key: str = "rr_uuid") ->
 
 
 def of_days(samples: DataFrame, requests: DataFrame) -> DataFrame:
-    """Of a log partitioned by day, the days on which some of the requests were seen: at most a few rows, which prune
-    the scan at run time. Other logs are handed back."""
-    if "day" not in samples.columns:
+    """The samples on days on which some of the requests were seen, and those without a time: what a report on requests
+    covers, whatever the layout of the log. The days are a few rows; of a log partitioned by `day` they prune the scan at
+    run time, and the partition without a day stays. Requests without a span say nothing about days: all samples."""
+    if "rr_min_dt" not in requests.columns:
         return samples
-    days = requests.select(F.explode(F.sequence(F.to_date("rr_min_dt"), F.to_date("rr_max_dt"))).alias("day")).distinct()
-    return samples.join(days, "day", "left_semi")
+    none = F.lit("0001-01-01").cast("date")
+    day = F.coalesce(F.col("day") if "day" in samples.columns else F.to_date("sample_time"), none)
+    seen = requests.select(F.explode(F.sequence(F.to_date("rr_min_dt"), F.to_date("rr_max_dt"))).alias("__day"))
+    days = seen.distinct().unionByName(samples.sparkSession.range(1).select(none.alias("__day")))
+    return samples.join(days, day == F.col("__day"), "left_semi")
 
 
 def resolve_server(hosts: DataFrame, live: DataFrame, master: DataFrame) -> DataFrame:
@@ -183,13 +187,20 @@ def snapshot_wide(snapshots: DataFrame, log: DataFrame, hosts: Sequence[str], me
 
 def kv_to_row(kv: DataFrame, keys: dict[str, str], by: Sequence[str] = ("host",)) -> DataFrame:
     """Key/value lines to one row. `keys` maps each key to its type. A group lacking a key gives no row; a key with an
-    empty value does. Of a key given twice the greatest text counts; `repeated_keys` lists such keys."""
+    empty value does. Of a key given twice the greatest text counts; `repeated_keys` lists such keys, and `n_repeated` of
+    `kv_rows` counts them."""
+    return kv_rows(kv, keys, by).drop("n_repeated")
+
+
+def kv_rows(kv: DataFrame, keys: dict[str, str], by: Sequence[str] = ("host",)) -> DataFrame:
+    """`kv_to_row` with the number of keys that the group gives more than once."""
     values, present = [], []
     for key, kind in keys.items():
         hit = F.col("key") == key
         values.append(F.max(F.when(hit, F.col("value"))).try_cast(kind).alias(key))
         present.append(F.count_if(hit).alias(f"__has_{key}"))
     wide = kv.groupBy(*by).agg(*values, *present)
+    wide = wide.withColumn("n_repeated", sum(((F.col(f"__has_{key}") > 1).cast("int") for key in keys), F.lit(0)))
     for key in keys:
         wide = wide.filter(F.col(f"__has_{key}") > 0)
     return wide.drop(*[f"__has_{key}" for key in keys])

@@ -188,10 +188,24 @@ OPERATORS: dict[str, Query] = {
         F.count_distinct("top_level_node_id").alias("nodes"), F.count_distinct("pid").alias("pids"),
         F.count_distinct("query_id").alias("queries"), F.count_distinct("sample_time").alias("times"))),
     "check_unique": _on_data(lambda t: q.check_unique(t.samples, ["host", "root_request_id", "wait_event"])),
+    "check_overlaps": _on_data(lambda t: q.check_overlaps(
+        _all_sessions(t), ["tsrv_uuid", "pid"], "backend_start", "gone_dt")),
+    "key_report": _on_data(lambda t: q.key_report({
+        "session_mst": _all_sessions(t), "query_mst": t.known_queries, "database_mst": t.known_databases,
+        "database_log": t.database_log, "tablet_rep": t.known_replicas, "tserver_log": t.tserver_log,
+        "snapshot_log": t.snapshots,
+        "root_request_query_lnk": t.samples.select(F.col("query_id").alias("queryid"),
+                                                   F.col("root_request_id").alias("rr_uuid"))})),
+    "line_report": _on_data(lambda t: tx.line_report(t.tserver_listing, "listing", ["file_host"])),
     "check_orphans": _on_data(lambda t: q.check_orphans(t.samples, t.known_queries, "query_id", "queryid")),
 }
 
 
+def _all_sessions(t: TestData) -> DataFrame:
+    """Sessions as known before and as seen now: the same intervals twice, some of them longer."""
+    return t.known_sessions.unionByName(t.sessions)
+
+
 def _as_double(df: DataFrame) -> DataFrame:
     """FLOAT columns widened through their decimal text, so the values read the same in every engine."""
     floats = [f.name for f in df.schema if f.dataType.typeName() == "float"]

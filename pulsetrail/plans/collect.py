@@ -1,8 +1,8 @@
 """Collection jobs: compositions of the state operators, each giving its tables and its counts.
 
 A job is lazy. `Collected.counts` reports rows per step as a DataFrame; `stage` writes the tables inside a transaction and
-counts what was written from the file footers, `commit` does so for a single job. `notes` are counts for the run log that
-belong to no table, such as lines that did not fit.
+counts what was written from the file footers, `commit` does so for a single job. `observed` holds counts for the run log
+that fall out of these writes, such as lines that did not fit.
 """
 
 from __future__ import annotations
@@ -10,14 +10,14 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import moment, whole_seconds
 from ..operators import state as st
-from ..operators.joins import kv_to_row, merge_columns, only_new
+from ..operators.joins import kv_rows, merge_columns, only_new
 from ..sources.store import Transaction, VersionedTables
-from ..sources.text import (normalise_listing, parse_kv, parse_masters, parse_server_metrics, parse_tservers,
+from ..sources.text import (counted_lines, normalise_listing, parse_kv, parse_masters, parse_server_metrics, parse_tservers,
                             parse_universe)
 
 HOST_KEYS = {"nr_processes": "int", "master_mem": "long", "tserver_mem": "long", "disk_usage_mb": "long",
@@ -35,7 +35,7 @@ class Collected:
     append: dict[str, DataFrame] = field(default_factory=dict)
     steps: dict[str, DataFrame] = field(default_factory=dict)
     partitions: dict[str, list[str]] = field(default_factory=dict)
-    notes: dict[str, int] = field(default_factory=dict)
+    observed: dict[str, Observation] = field(default_factory=dict)
 
     def counts(self) -> DataFrame:
         """component, step, n_rows."""
@@ -65,8 +65,9 @@ def stage(result: Collected, tx: Transaction, host: str, as_of, batch: int | Non
         else:
             rows = tx.add(name, df, batch, result.partitions.get(name, ()), component=result.component)
         written[name] = rows.count()
+    notes = {f"{name} {what}": n for name, seen in result.observed.items() for what, n in seen.get.items()}
     elapsed = (time.monotonic() - started) * 1000
-    return written, run_log_row(tx.spark, result.component, host, as_of, elapsed, {**written, **result.notes})
+    return written, run_log_row(tx.spark, result.component, host, as_of, elapsed, {**written, **notes})
 
 
 def commit(result: Collected, tables: VersionedTables, host: str, as_of, batch: int | None = None) -> dict[str, int]:
@@ -119,17 +120,25 @@ def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFram
                      {"activity": opened, "samples": ghosts, "closed": closed, "log": log})
 
 
-def host_metrics(kv: DataFrame, local_tablets: DataFrame, by=("host",)) -> DataFrame:
-    """One row per host (and export, with more columns in `by`) with the number of tablets the host holds."""
+def host_metrics(kv: DataFrame, local_tablets: DataFrame, by=("host",), repeats: Observation | None = None) -> DataFrame:
+    """One row per host (and export, with more columns in `by`) with the number of tablets the host holds. `repeats` takes
+    the number of keys that were given more than once."""
     tablets = local_tablets.groupBy(F.col("host").alias("__host")).agg(F.count(F.lit(1)).alias("nr_local_tablets"))
-    rows = kv_to_row(kv, HOST_KEYS, by)
+    rows = kv_rows(kv, HOST_KEYS, by)
+    if repeats is not None:
+        rows = rows.observe(repeats, F.coalesce(F.sum("n_repeated"), F.lit(0)).alias("repeated"))
+    rows = rows.drop("n_repeated")
     joined = rows.join(tablets, rows["host"] == tablets["__host"], "left").drop("__host")
     return joined.withColumn("nr_local_tablets", F.coalesce("nr_local_tablets", F.lit(0)))
 
 
 def collect_hosts(lines: DataFrame, local_tablets: DataFrame, by=("host",)) -> Collected:
-    rows = host_metrics(parse_kv(lines), local_tablets, by)
-    return Collected("hosts", append={"host_log": rows}, steps={"log": rows})
+    """Host rows. Lines that do not fit and keys given more than once are counted as the rows are written."""
+    seen, repeats = Observation(), Observation()
+    kv = parse_kv(counted_lines(lines, "kv", seen))
+    rows = host_metrics(kv, local_tablets, by, repeats)
+    return Collected("hosts", append={"host_log": rows}, steps={"log": rows},
+                     observed={"host": seen, "keys": repeats})
 
 
 def collect_tablets(tablets: DataFrame, replicas: DataFrame, local: DataFrame, as_of,
@@ -174,8 +183,9 @@ def collect_snapshot(masters: DataFrame, servers: DataFrame, master_lines: DataF
                      universe_lines: DataFrame, metrics: DataFrame) -> Collected:
     """Listings of one or more snapshots (lines carry `snap_id`): first-seen servers, a log row per server and
     snapshot with its metrics merged in, and the universe document."""
-    master_log = parse_masters(normalise_listing(master_lines))
-    server_rows = parse_tservers(normalise_listing(server_lines))
+    seen = {"masters": Observation(), "servers": Observation()}
+    master_log = parse_masters(normalise_listing(counted_lines(master_lines, "listing", seen["masters"])))
+    server_rows = parse_tservers(normalise_listing(counted_lines(server_lines, "listing", seen["servers"])))
     server_log = merge_metrics(server_rows, metrics)
     universe_log = parse_universe(universe_lines)
     new_masters = first_seen(masters, master_log, "mast_uuid")
@@ -184,7 +194,7 @@ def collect_snapshot(masters: DataFrame, servers: DataFrame, master_lines: DataF
                                   "tserver_mst": st.extended(servers, new_servers)},
                      {"master_log": master_log, "tserver_log": server_log, "universe_log": universe_log},
                      {"universe": universe_log, "new_masters": new_masters, "masters": master_log,
-                      "new_servers": new_servers, "servers": server_log})
+                      "new_servers": new_servers, "servers": server_log}, observed=seen)
 
 
 def merge_metrics(log: DataFrame, metrics: DataFrame) -> DataFrame:

@@ -114,21 +114,22 @@ VIEWS = {
         FROM parts JOIN (VALUES (2), (3), (4), (5)) t(n) ON (p_partkey + n) % 2 = 1""",
     "sessions": _session_view("events", "CASE WHEN user_id % 5 <> 0 THEN max(ts) END"),
     "tserver_log": f"""
-        SELECT CAST(dayofyear(d) AS BIGINT) AS snap_id, {_node('n')} AS tsrv_uuid, 'node'||n AS host,
-               CAST(views AS DOUBLE) AS rd_psec, CAST(buys AS DOUBLE) AS wr_psec, clicks / 100.0 AS cpu_user,
-               errors / 100.0 AS cpu_syst, views, buys
-        FROM (SELECT CAST(ts AS DATE) AS d, 2 + event_id % 4 AS n, count(*) FILTER (event_type = 'view') AS views,
-                     count(*) FILTER (event_type = 'purchase') AS buys,
-                     count(*) FILTER (event_type = 'click') AS clicks,
-                     count(*) FILTER (event_type = 'error') AS errors
-              FROM events GROUP BY 1, 2)
-        WHERE NOT (n = 5 AND d = DATE '2024-01-10')""",
-    "snapshots": """SELECT CAST(dayofyear(CAST(ts AS DATE)) AS BIGINT) AS id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS log_dt
-                    FROM events GROUP BY CAST(ts AS DATE)""",
+        SELECT datediff('minute', TIMESTAMP '2024-01-01 00:00:00', m) + 1 AS snap_id, {_node('n')} AS tsrv_uuid,
+               'node'||n AS host, CAST(views AS DOUBLE) AS rd_psec, CAST(buys AS DOUBLE) AS wr_psec,
+               clicks / 100.0 AS cpu_user, errors / 100.0 AS cpu_syst, views, buys
+        FROM (SELECT date_trunc('minute', ts) AS m, n,
+                     count(*) FILTER (event_type = 'view' AND 2 + event_id % 4 = n) AS views,
+                     count(*) FILTER (event_type = 'purchase' AND 2 + event_id % 4 = n) AS buys,
+                     count(*) FILTER (event_type = 'click' AND 2 + event_id % 4 = n) AS clicks,
+                     count(*) FILTER (event_type = 'error' AND 2 + event_id % 4 = n) AS errors
+              FROM events, (VALUES (2), (3), (4), (5)) t(n) GROUP BY 1, 2)
+        WHERE NOT (n = 5 AND CAST(m AS DATE) = DATE '2024-01-10')""",
+    "snapshots": """SELECT DISTINCT datediff('minute', TIMESTAMP '2024-01-01 00:00:00', date_trunc('minute', ts)) + 1 AS id,
+                           CAST(date_trunc('minute', ts) AS TIMESTAMP) AS log_dt FROM events""",
     "database_log": """
         SELECT datid, log_host, log_dt, CAST(sum(s) OVER w AS BIGINT) AS sessions,
                CAST(sum(n) OVER w AS BIGINT) AS tup_returned, CAST(sum(n) OVER w AS BIGINT) * 5000000 AS temp_bytes
-        FROM (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS log_dt, 'node'||(2 + event_id % 4) AS log_host,
+        FROM (SELECT CAST(date_trunc('minute', ts) AS TIMESTAMP) AS log_dt, 'node'||(2 + event_id % 4) AS log_host,
                      13515 + user_id % 3 AS datid, count(*) FILTER (event_type = 'signup') AS s, count(*) AS n
               FROM events GROUP BY 1, 2, 3)
         WINDOW w AS (PARTITION BY log_host, datid ORDER BY log_dt ROWS UNBOUNDED PRECEDING)""",
@@ -229,6 +230,7 @@ VIEWS = {
                           AND k.tsrv_uuid = l.tsrv_uuid)""",
     "known_events": """SELECT DISTINCT wait_event_component, wait_event FROM exported
                        WHERE sample_time < TIMESTAMP '2024-01-01 00:05:00'""",
+    "all_sessions": "SELECT * FROM known_sessions UNION ALL SELECT * FROM sessions",
     "quiet": "SELECT * FROM samples WHERE NOT (wait_event = 'Extension' AND query_id IN (5, 7))",
     "loaded": f"""
         SELECT n.* FROM quiet n WHERE n.sample_time >= {CUT} AND NOT EXISTS (
@@ -369,6 +371,40 @@ _TABLET_TOP = """
 
 _INVENTORY = ["customer", "documents", "events", "labels", "lineitem", "orders", "pages", "part", "supplier"]
 
+def _overlapping(table: str, keys: str, start: str) -> str:
+    """Intervals that begin while an earlier one of their key lasts."""
+    return f"""
+        SELECT * FROM {table} WHERE {start} IS NOT NULL AND (gone_dt IS NULL OR gone_dt > {start})
+        QUALIFY max(coalesce(gone_dt, TIMESTAMP 'infinity')) OVER (PARTITION BY {keys} ORDER BY {start}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > {start}"""
+
+
+def _key_report() -> str:
+    def line(table: str, constraint: str, rows: str) -> str:
+        return f"""SELECT '{table}' AS table_name, '{constraint}' AS "constraint", count(*) AS n_rows FROM ({rows})"""
+
+    unique = {"session_mst": ("all_sessions", "id"), "query_mst": ("known_queries", "queryid"),
+              "database_mst": ("known_databases", "datid"), "database_log": ("database_log", "datid, log_host, log_dt"),
+              "tablet_rep": ("known_replicas", "tblt_uuid, tsrv_uuid, log_dt"),
+              "tserver_log": ("tserver_log", "snap_id, tsrv_uuid"), "snapshot_log": ("snapshots", "id"),
+              "root_request_query_lnk": ("(SELECT query_id AS queryid, root_request_id AS rr_uuid FROM samples)",
+                                         "queryid, rr_uuid")}
+    lines = [line(t, f"unique {keys}", f"SELECT * FROM {source} x QUALIFY count(*) OVER (PARTITION BY {keys}) > 1")
+             for t, (source, keys) in unique.items()]
+    parents = [("tserver_log", "snap_id", "snapshot_log", "snapshots", "id", "tserver_log"),
+               ("root_request_query_lnk", "queryid", "query_mst", "known_queries", "queryid",
+                "(SELECT query_id AS queryid FROM samples)"),
+               ("database_log", "datid", "database_mst", "known_databases", "datid", "database_log")]
+    lines += [line(child, f"{key} in {parent}", f"SELECT * FROM {source} c WHERE {key} IS NOT NULL AND NOT EXISTS ("
+                   f"SELECT 1 FROM {view} p WHERE p.{parent_key} = c.{key})")
+              for child, key, parent, view, parent_key, source in parents]
+    lines += [line("session_mst", "no overlap of tsrv_uuid, pid",
+                   _overlapping("all_sessions", "tsrv_uuid, pid", "backend_start")),
+              line("tablet_rep", "no overlap of tblt_uuid, tsrv_uuid",
+                   _overlapping("known_replicas", "tblt_uuid, tsrv_uuid", "log_dt"))]
+    return " UNION ALL ".join(lines)
+
+
 QUERIES = {
     "interval_summary": f"""
         SELECT 'report on interval :' AS titl, '2024-01-01 00:00:00' AS from_dt, '2024-31-01 00:00:00' AS to_dt,
@@ -544,6 +580,15 @@ QUERIES = {
                count(DISTINCT query_id) AS queries, count(DISTINCT sample_time) AS times FROM samples GROUP BY 1""",
     "check_unique": """SELECT host, root_request_id, wait_event, count(*) AS n_rows FROM samples
                        GROUP BY 1, 2, 3 HAVING count(*) > 1""",
+    "line_report": """
+        SELECT file_host, verdict, count(*) AS n_lines, CASE WHEN verdict = 'rejected' THEN min(line) END AS example FROM (
+            SELECT host AS file_host, unnest(['good', 'skipped']) AS verdict, '' AS line FROM tserver_log
+            UNION ALL SELECT 'node2', 'rejected', 'Timed out: no answer' FROM snapshots WHERE id % 10 = 0)
+        GROUP BY 1, 2""",
+    "key_report": _key_report(),
+    "check_overlaps": f"""
+        SELECT tsrv_uuid, pid, count(*) AS n_rows FROM ({_overlapping('all_sessions', 'tsrv_uuid, pid', 'backend_start')})
+        GROUP BY 1, 2""",
     "check_orphans": """SELECT query_id AS orphan, count(*) AS n_rows FROM samples
                         WHERE query_id NOT IN (SELECT queryid FROM known_queries) GROUP BY 1""",
     "upsert_new": f"""
@@ -636,7 +681,9 @@ QUERIES = {
     "collect_snapshot": _counts("snapshot", {
         "universe": "snapshots", "new_masters": "(SELECT DISTINCT host FROM tserver_log)", "masters": "tserver_log",
         "new_servers": "(SELECT DISTINCT tsrv_uuid FROM tserver_log WHERE host = 'node5')", "servers": "tserver_log"}),
-    "stream_deduplicated": """SELECT DISTINCT host, sample_time, root_request_id, rpc_request_id, wait_event FROM quiet""",
+    "stream_deduplicated": """
+        SELECT * FROM quiet QUALIFY row_number() OVER (
+            PARTITION BY host, sample_time, root_request_id, rpc_request_id, wait_event ORDER BY sample_id) = 1""",
     "stream_minute_host_counts": """
         SELECT date_trunc('minute', sample_time) AS dt, host, count(*) AS cnt FROM samples GROUP BY 1, 2""",
     "stream_minute_wait_types": f"""

@@ -166,3 +166,10 @@ FOREIGN_KEYS = [
     ("root_request_query_lnk", "rr_uuid", "root_request_mst", "rr_uuid"),
     ("database_log", "datid", "database_mst", "datid"),
 ]
+
+# Keys whose rows are intervals of time, with their first and last moment; intervals of one key must not overlap.
+VALIDITY_KEYS = {
+    "session_mst": (["tsrv_uuid", "pid"], "backend_start", "gone_dt"),
+    "tablet_mst": (["tblt_uuid"], "log_dt", "gone_dt"),
+    "tablet_rep": (["tblt_uuid", "tsrv_uuid"], "log_dt", "gone_dt"),
+}

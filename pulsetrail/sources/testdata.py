@@ -42,6 +42,11 @@ def node_name(number: Column) -> Column:
     return F.concat(F.lit("node"), number.cast("string"))
 
 
+def _snap_id(minute: Column) -> Column:
+    """Number of a minute's snapshot, 1 for the first minute of the reports."""
+    return F.timestamp_diff("MINUTE", moment(REPORT_START), minute) + 1
+
+
 def _null(kind: T.DataType) -> Column:
     """Typed NULL; moments are zone-less here, like those of the supplied tables."""
     return F.lit(None).cast("timestamp_ntz" if isinstance(kind, T.TimestampType) else kind)
@@ -168,21 +173,27 @@ class TestData:
 
     @cached_property
     def tserver_log(self) -> DataFrame:
-        hits = lambda kind: F.count_if(F.col("event_type") == kind)
-        return (self.events.groupBy(F.to_date("ts").alias("day"), (F.col("event_id") % 4 + 2).alias("n"))
-                .agg(hits("view").alias("views"), hits("purchase").alias("buys"),
-                     hits("click").alias("clicks"), hits("error").alias("errors"))
-                .filter(~((F.col("n") == 5) & (F.col("day") == "2024-01-10")))
-                .select(F.dayofyear("day").cast("long").alias("snap_id"), node_uuid(F.col("n")).alias("tsrv_uuid"),
+        """A snapshot per minute with events: a row per server; node5 does not answer on one day."""
+        nodes = range(2, 6)
+        hits = lambda kind, n: F.count_if((F.col("event_type") == kind) & (F.col("event_id") % 4 + 2 == n))
+        kinds = {"views": "view", "buys": "purchase", "clicks": "click", "errors": "error"}
+        minute = F.date_trunc("minute", F.col("ts"))
+        wide = self.events.groupBy(minute.cast("timestamp_ntz").alias("log_dt")).agg(
+            *[hits(kind, n).alias(f"{name}_{n}") for n in nodes for name, kind in kinds.items()])
+        per_node = F.array(*[F.struct(F.lit(n).alias("n"), *[F.col(f"{name}_{n}").alias(name) for name in kinds])
+                             for n in nodes])
+        return (wide.select("log_dt", F.explode(per_node).alias("x")).select("log_dt", "x.*")
+                .filter(~((F.col("n") == 5) & (F.to_date("log_dt") == "2024-01-10")))
+                .select(_snap_id(F.col("log_dt")).alias("snap_id"), node_uuid(F.col("n")).alias("tsrv_uuid"),
                         node_name(F.col("n")).alias("host"),
                         F.col("views").cast("double").alias("rd_psec"), F.col("buys").cast("double").alias("wr_psec"),
                         (F.col("clicks") / 100.0).alias("cpu_user"), (F.col("errors") / 100.0).alias("cpu_syst")))
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return (self.events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-                .select(F.dayofyear("day").cast("long").alias("id"),
-                        F.col("day").cast("timestamp_ntz").alias("log_dt"),
+        return (self.events.groupBy(F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("log_dt"))
+                .agg(F.count("*").alias("n"))
+                .select(_snap_id(F.col("log_dt")).alias("id"), "log_dt",
                         F.lit("node2").alias("log_host"), F.col("n").alias("duration_ms")))
 
     @cached_property
@@ -190,12 +201,12 @@ class TestData:
         from pyspark.sql import Window
         running = (Window.partitionBy("log_host", "datid").orderBy("log_dt")
                    .rowsBetween(Window.unboundedPreceding, 0))
-        daily = (self.events
-                 .groupBy(F.to_date("ts").cast("timestamp_ntz").alias("log_dt"),
-                          node_name(F.col("event_id") % 4 + 2).alias("log_host"),
-                          (F.col("user_id") % 3 + 13515).alias("datid"))
-                 .agg(F.count_if(F.col("event_type") == "signup").alias("s"), F.count("*").alias("n")))
-        return daily.select(
+        each = (self.events
+                .groupBy(F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("log_dt"),
+                         node_name(F.col("event_id") % 4 + 2).alias("log_host"),
+                         (F.col("user_id") % 3 + 13515).alias("datid"))
+                .agg(F.count_if(F.col("event_type") == "signup").alias("s"), F.count("*").alias("n")))
+        return each.select(
             "datid", "log_host", "log_dt", F.sum("s").over(running).alias("sessions"),
             F.sum("n").over(running).alias("tup_returned"),
             (F.sum("n").over(running) * F.lit(5_000_000)).alias("temp_bytes"))
@@ -340,13 +351,16 @@ class TestData:
 
     @cached_property
     def tserver_listing(self) -> DataFrame:
-        """Lines of the server listing, one header and one line per server and snapshot."""
+        """Lines of the server listing, one header and one line per server and snapshot, now and then one that is broken."""
         row = F.concat(F.col("tsrv_uuid"), F.lit("  "), F.col("host"), F.lit(":9100   0.5s  ALIVE    "),
                        F.col("rd_psec").cast("int").cast("string"), F.lit("    "),
                        F.col("wr_psec").cast("int").cast("string"), F.lit("  "),
                        (F.col("snap_id") * 86400).cast("string"), F.lit("  10 MB"))
-        return self._with_header(self.tserver_log.select("snap_id", F.col("host").alias("file_host"), row.alias("line")),
-                                 "Tablet Server UUID  RPC Host/Port  Heartbeat delay  Status")
+        lines = self._with_header(self.tserver_log.select("snap_id", F.col("host").alias("file_host"), row.alias("line")),
+                                  "Tablet Server UUID  RPC Host/Port  Heartbeat delay  Status")
+        broken = self.snapshots.filter(F.col("id") % 10 == 0).select(
+            F.col("id").alias("snap_id"), F.lit("node2").alias("file_host"), F.lit("Timed out: no answer").alias("line"))
+        return lines.unionByName(broken)
 
     @cached_property
     def master_listing(self) -> DataFrame:

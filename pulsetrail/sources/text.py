@@ -6,7 +6,9 @@ of its input. Fields come out by lenient casts: a malformed number is NULL, not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +42,37 @@ def parse_kv(lines: DataFrame, column: str = "line") -> DataFrame:
             .select(*rest, cut[0].alias("key"), _empty_to_null(cut[1]).alias("value")))
 
 
+# Fixed formats of the listings' first lines.
+_HEADER = r"^\s*(Master|Tablet Server) UUID(\s|$)"
+GOOD, SKIPPED, REJECTED = "good", "skipped", "rejected"
+
+
+def judge_lines(lines: DataFrame, kind: str, column: str = "line") -> DataFrame:
+    """Adds `verdict`: good lines become rows, header and blank lines are skipped, all others do not fit the format and are
+    rejected. `kind` is `kv` or `listing`. Good rows and rejected lines come out of the same scan."""
+    text = F.coalesce(F.col(column), F.lit(""))
+    skipped = F.trim(text) == ""
+    if kind == "kv":
+        good = text.contains("=")
+    else:
+        good = F.translate(text, " \t:", "|||").rlike(_STARTS_WITH_UUID)
+        skipped |= text.rlike(_HEADER)
+    return lines.withColumn("verdict", F.when(good, GOOD).when(skipped, SKIPPED).otherwise(REJECTED))
+
+
+def counted_lines(lines: DataFrame, kind: str, seen: Observation, column: str = "line") -> DataFrame:
+    """The good lines; when they are written, `seen` holds how many lines there were and how many were rejected."""
+    judged = judge_lines(lines, kind, column).observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("verdict") == REJECTED).alias("rejected"))
+    return judged.filter(F.col("verdict") == GOOD).drop("verdict")
+
+
+def line_report(lines: DataFrame, kind: str, by: Sequence[str], column: str = "line") -> DataFrame:
+    """Lines per source and verdict, with the least of the rejected ones as an example."""
+    return judge_lines(lines, kind, column).groupBy(*by, "verdict").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min(F.when(F.col("verdict") == REJECTED, F.col(column))).alias("example"))
+
+
 def normalise_listing(lines: DataFrame, column: str = "line", out: str = "slurp") -> DataFrame:
     """Columnar listing to `|`-separated text: tabs and runs of blanks become one `|`, and so does each `:`.
     Header lines are recognised by not starting with a uuid, so files may be read in any split."""
