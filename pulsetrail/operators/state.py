@@ -193,6 +193,48 @@ def log_statements(log: DataFrame, statements: DataFrame, as_of) -> DataFrame:
                         *STATEMENT_COUNTERS)
 
 
+LATEST_KEY = "statement_key"
+LATEST_BUCKETS = 32
+_OWNER = ["queryid", "tsrv_uuid", "dbid", "userid", "toplevel"]
+
+
+def _keyed(statements: DataFrame) -> DataFrame:
+    """The statement's natural key as one text, NULL parts as `~`: a single join key without NULLs."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _OWNER]
+    return statements.withColumn(LATEST_KEY, F.concat_ws("|", *parts))
+
+
+def latest_statements(log: DataFrame) -> DataFrame:
+    """(statement_key, calls, rows): the newest counters of each statement in a log. Later ones come from
+    `merge_latest`, so this is for a log that has no such table yet."""
+    newest = F.max(F.struct("log_dt", "calls", "rows")).alias("n")
+    return _keyed(log).groupBy(LATEST_KEY).agg(newest).select(LATEST_KEY, "n.calls", "n.rows")
+
+
+def changed_statements(latest: DataFrame, statements: DataFrame, as_of) -> DataFrame:
+    """New log rows: counters that differ from the newest known ones of their statement. Unlike `log_statements`, which
+    looks for equal counters anywhere in the log, counters that come back to earlier values (after a reset) are logged.
+
+    The work follows the export and the number of statements, not the age of the log. With `latest` bucketed by
+    `statement_key`, only the export is shuffled."""
+    known = latest.select(F.col(LATEST_KEY).alias("__key"), F.col("calls").alias("__calls"), F.col("rows").alias("__rows"))
+    fresh = _keyed(not_explain(statements))
+    fresh = fresh.join(known, fresh[LATEST_KEY] == known["__key"], "left")
+    same = F.col("__key").isNotNull() & F.col("calls").eqNullSafe(F.col("__calls")) & F.col("rows").eqNullSafe(F.col("__rows"))
+    return fresh.filter(~same).select("tsrv_uuid", "queryid", moment(as_of).alias("log_dt"), "userid", "dbid", "toplevel",
+                                      *STATEMENT_COUNTERS)
+
+
+def merge_latest(latest: DataFrame, statements: DataFrame) -> DataFrame:
+    """The newest counters after an export: exported statements take its counters (of several rows the most calls), the
+    others keep theirs. Buckets meet their own rows only."""
+    fresh = _keyed(not_explain(statements)).groupBy(LATEST_KEY).agg(F.max(F.struct("calls", "rows")).alias("n"))
+    known = latest.select(F.col(LATEST_KEY).alias("__key"), F.struct("calls", "rows").alias("__n"))
+    both = fresh.join(known, fresh[LATEST_KEY] == known["__key"], "full_outer")
+    return both.select(F.coalesce(LATEST_KEY, "__key").alias(LATEST_KEY), F.coalesce("n", "__n").alias("n")).select(
+        LATEST_KEY, "n.calls", "n.rows")
+
+
 # ---- tablets ----------------------------------------------------------------------------------------------
 
 _TABLET_COLUMNS = {"table_id": "tabl_uuid", "table_type": "table_type", "namespace_name": "namespace_name",

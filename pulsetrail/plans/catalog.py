@@ -239,6 +239,10 @@ STATE: dict[str, Query] = {
     "fill_query_text": _on_data(lambda t: st.fill_query_text(t.known_queries, t.statements, AS_OF)),
     "log_statements": _on_data(lambda t: st.log_statements(t.known_statements, t.statements, AS_OF)
                                .withColumn("wal_bytes", F.col("wal_bytes").cast("double"))),
+    "changed_statements": _on_data(lambda t: st.changed_statements(
+        st.latest_statements(t.known_statements), t.statements, AS_OF)
+        .withColumn("wal_bytes", F.col("wal_bytes").cast("double"))),
+    "merge_latest": _on_data(lambda t: st.merge_latest(st.latest_statements(t.known_statements), t.statements)),
     "open_tablets": _on_data(lambda t: st.open_tablets(t.known_tablets, t.local_tablets, AS_OF)),
     "track_replicas": _on_data(lambda t: st.track_replicas(t.known_replicas, t.local_tablets, AS_OF)),
     "close_tablets": _on_data(lambda t: st.close_tablets(

@@ -36,6 +36,7 @@ class Collected:
     steps: dict[str, DataFrame] = field(default_factory=dict)
     partitions: dict[str, list[str]] = field(default_factory=dict)
     observed: dict[str, Observation] = field(default_factory=dict)
+    bucketed: dict[str, tuple[DataFrame, str, int]] = field(default_factory=dict)
 
     def counts(self) -> DataFrame:
         """component, step, n_rows."""
@@ -65,6 +66,8 @@ def stage(result: Collected, tx: Transaction, host: str, as_of, batch: int | Non
         else:
             rows = tx.add(name, df, batch, result.partitions.get(name, ()), component=result.component)
         written[name] = rows.count()
+    for name, (df, key, buckets) in result.bucketed.items():
+        tx.replace_bucketed(name, df, key, buckets)
     notes = {f"{name} {what}": n for name, seen in result.observed.items() for what, n in seen.get.items()}
     elapsed = (time.monotonic() - started) * 1000
     return written, run_log_row(tx.spark, result.component, host, as_of, elapsed, {**written, **notes})
@@ -92,13 +95,18 @@ def collect_databases(databases: DataFrame, batch: DataFrame, as_of) -> Collecte
 
 
 def collect_queries(queries: DataFrame, log: DataFrame, samples: DataFrame, activity: DataFrame,
-                    statements: DataFrame, as_of, seconds: int = 900) -> Collected:
+                    statements: DataFrame, as_of, seconds: int = 900, latest: DataFrame | None = None) -> Collected:
+    """Statements, their texts and the counters that changed. With `latest`, the table of the newest counters, the log
+    itself is not read."""
     fresh = st.new_queries(queries, samples, activity, statements, as_of, seconds)
     state = st.extended(queries, fresh)
-    changed = st.log_statements(log, statements, as_of)
+    changed = st.log_statements(log, statements, as_of) if latest is None else \
+        st.changed_statements(latest, statements, as_of)
+    kept = {} if latest is None else {
+        "statement_latest": (st.merge_latest(latest, statements), st.LATEST_KEY, st.LATEST_BUCKETS)}
     return Collected("queries", {"query_mst": st.fill_query_text(state, statements, as_of)}, {"query_log": changed},
                      {**{source: fresh.filter(F.col("source") == source) for source in st.SOURCES},
-                      "filled": state.filter(st.blank_recent(state, as_of, 3600)), "log": changed})
+                      "filled": state.filter(st.blank_recent(state, as_of, 3600)), "log": changed}, bucketed=kept)
 
 
 def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFrame, as_of,

@@ -93,6 +93,17 @@ def _queries(tables: VersionedTables, as_of) -> DataFrame:
     return known
 
 
+LATEST_SCHEMA = T.StructType([T.StructField(st.LATEST_KEY, T.StringType()), T.StructField("calls", T.LongType()),
+                              T.StructField("rows", T.LongType())])
+
+
+def _latest_statements(tables: VersionedTables) -> DataFrame:
+    """The newest counters of each statement; of a log that has no such table, its newest rows."""
+    if tables.latest("statement_latest") is None:
+        return st.latest_statements(tables.read_all("query_log", TABLES["query_log"]))
+    return tables.read_bucketed("statement_latest", LATEST_SCHEMA, st.LATEST_KEY, st.LATEST_BUCKETS)
+
+
 def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of,
               cycle: str | None = None) -> dict[str, dict[str, int]]:
     """Run all collectors and publish their tables in one commit; returns the rows written per job and table.
@@ -120,7 +131,8 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of,
         lambda: collect.collect_sessions(read("session_mst"), exports.activity, exports.samples, as_of,
                                          _closed(tables, "session_mst"), exports.reporting),
         lambda: collect.collect_queries(_queries(tables, as_of), tables.read_all("query_log", TABLES["query_log"]),
-                                        exports.samples, exports.activity, exports.statements, as_of),
+                                        exports.samples, exports.activity, exports.statements, as_of,
+                                        latest=_latest_statements(tables)),
         samples,
         lambda: collect.collect_events(read("event_mst"), exports.samples, as_of),
     ]

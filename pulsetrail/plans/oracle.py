@@ -622,6 +622,15 @@ QUERIES = {
     "log_statements": f"""
         SELECT tsrv_uuid, queryid, {AS_OF} AS log_dt, CAST(10 AS BIGINT) AS userid, dbid, true AS toplevel,
                {_statement_counters()} FROM changed_statements""",
+    "changed_statements": f"""
+        SELECT tsrv_uuid, queryid, {AS_OF} AS log_dt, CAST(10 AS BIGINT) AS userid, dbid, true AS toplevel,
+               {_statement_counters()} FROM changed_statements""",
+    "merge_latest": """
+        SELECT concat_ws('|', queryid, tsrv_uuid, dbid, 10, 'true') AS statement_key,
+               coalesce(max(n) FILTER (now), max(n)) AS calls, coalesce(max(n) FILTER (now), max(n)) * 10 AS "rows" FROM (
+            SELECT queryid, tsrv_uuid, dbid, n, false AS now FROM known_statements
+            UNION ALL SELECT queryid, tsrv_uuid, dbid, n, true FROM statements
+            WHERE upper(left(query, 20)) NOT LIKE '%EXPLAIN%') GROUP BY ALL""",
     "open_tablets": f"SELECT *, 'user' AS table_type, {AS_OF} AS log_dt FROM opened_tablets",
     "track_replicas": "SELECT *, '-undetected-' AS role, '-undetected-' AS state FROM tracked",
     "close_tablets": f"""
