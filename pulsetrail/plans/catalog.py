@@ -22,7 +22,7 @@ from ..sources import text as tx
 from ..sources.tables import overwrite, table_inventory
 from ..sources.testdata import AS_OF, EVENTS_SCHEMA, HOSTS, LOOKBACK_SECONDS, OVERLAP, TestData, samples_from_events
 from ..streaming import samples as sm
-from . import collect, dashboards, derive, drilldown, interval, tree
+from . import collect, dashboards, derive, drilldown, interval, rollup, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 START, END = interval_from_offsets(AS_OF, LOOKBACK_SECONDS, LOOKBACK_SECONDS)
@@ -85,6 +85,7 @@ REPORTS: dict[str, Query] = {
     "busiest_tablets_as_written": _on_data(lambda t: interval.busiest_tablets(
         t.samples, t.tablets, t.replicas, t.servers, START, END, as_written=True)),
     "top_queries": _on_data(lambda t: interval.top_queries(t.samples, t.queries, START, END)),
+    "rolled_requests": _on_data(lambda t: rollup.sketch_error(t.samples, rollup.minute_requests(t.samples), START, END)),
     "top_query_per_rr": _on_data(lambda t: interval.top_query_per_rr(t.samples, t.queries, START, END)),
     "top_query_per_pid": _on_data(lambda t: interval.top_query_per_pid(t.samples, t.queries, START, END)),
     # statement ids of the supplied data lie in 0..99, so the background bound is that of the seeds

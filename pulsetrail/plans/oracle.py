@@ -586,6 +586,9 @@ QUERIES = {
             UNION ALL SELECT 'node2', 'rejected', 'Timed out: no answer' FROM snapshots WHERE id % 10 = 0)
         GROUP BY 1, 2""",
     "key_report": _key_report(),
+    "rolled_requests": f"""
+        SELECT query_id, count(*) AS cnt_ashev, count(DISTINCT root_request_id) AS nr_rreq, true AS "close"
+        FROM samples WHERE {INTERVAL} AND root_request_id NOT LIKE '0000%' AND query_id IS NOT NULL GROUP BY 1""",
     "check_overlaps": f"""
         SELECT tsrv_uuid, pid, count(*) AS n_rows FROM ({_overlapping('all_sessions', 'tsrv_uuid, pid', 'backend_start')})
         GROUP BY 1, 2""",
