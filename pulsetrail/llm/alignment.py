@@ -39,9 +39,9 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, LongType, StringT
 from pulsetrail.llm.common import spread_join, to_arrow
 from pulsetrail.session import run_folder
 
-BLOCK = 6 << 20      # characters of a block
+BLOCK = 3 << 20      # characters of a block
 BLOCK_ROWS = 50_000  # documents of a block
-UNITS = 200_000      # distinct units aligned in one go
+UNITS = 100_000      # distinct units aligned in one go
 UNIT = re.compile(r"(?<=\S) (?=\S)")
 KEYS = ["parent", "end"]
 PACKED = ["sizes", "units", "links", "link_pairs"]  # units per document, their numbers, links per unit, their pairs
