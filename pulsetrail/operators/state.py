@@ -9,15 +9,15 @@ cover many nodes.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import address_part, bare_address, is_blank, moment, port_part
 from ..schemas import ACTIVITY_STATE, DATABASE_COUNTERS, STATEMENT_COUNTERS
 from .filters import alive, drop_noise, lookback, not_explain, parse_moment
-from .joins import only_new, with_mark
+from .joins import null_safe, only_new, renamed_keys, with_mark
 
 SAMPLE_KEY = ["host", "sample_time", "root_request_id", "rpc_request_id", "wait_event"]
 STATEMENT_KEY = ["queryid", "tsrv_uuid", "dbid", "userid", "toplevel", "rows", "calls"]
@@ -64,31 +64,45 @@ def log_databases(batch: DataFrame, as_of) -> DataFrame:
 
 # ---- sessions ---------------------------------------------------------------------------------------------
 
+SESSION_KEY = ["host", "pid", "backend_start"]
+PROCESS_KEY = ["tsrv_uuid", "pid"]
+
+
+def _exported_sessions(activity: DataFrame) -> list[Column]:
+    """Columns of an exported session as an open row."""
+    return [F.xxhash64(*SESSION_KEY).alias("id"), F.col("tsrv_uuid"), *[F.col(c) for c in SESSION_KEY],
+            F.lit(None).cast("timestamp_ntz").alias("gone_dt"), bare_address(F.col("client_addr")).alias("client_addr"),
+            *[F.col(c) for c in ("client_port", "client_hostname", "datid", "usesysid", "leader_pid")],
+            F.col("application_name").alias("app_name"), F.col("backend_type")]
+
+
 def open_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
     """New rows: exported sessions without an open row for the same host, pid and start. A closed one re-opens."""
-    keys = ["host", "pid", "backend_start"]
-    fresh = only_new(activity, alive(sessions), keys)
-    return with_key(fresh, keys).select(
-        "id", "tsrv_uuid", "host", "pid", "backend_start", F.lit(None).cast("timestamp_ntz").alias("gone_dt"),
-        bare_address(F.col("client_addr")).alias("client_addr"), "client_port", "client_hostname", "datid",
-        "usesysid", "leader_pid", F.col("application_name").alias("app_name"), "backend_type")
+    return only_new(activity, alive(sessions), SESSION_KEY).select(*_exported_sessions(activity))
 
 
-def ghost_sessions(sessions: DataFrame, samples: DataFrame) -> DataFrame:
-    """New rows guessed from samples of processes no session is known for: the earliest sample stands in for
-    the start, the node that took it is the host, and the user id stays unknown."""
+def _guessed(samples: DataFrame) -> DataFrame:
+    """Processes that samples show: the earliest sample stands in for the start, the node that took it is the host."""
     keys = ["top_level_node_id", "pid", "client_node_ip", "dbid"]
     per_host = samples.groupBy(*keys, "host").agg(F.min("sample_time").alias("first"))  # folds the samples
-    processes = (per_host.groupBy(*keys)
-                 .agg(F.min("first").alias("backend_start"), F.min_by("host", F.struct("first", "host")).alias("host"))
-                 .withColumnRenamed("top_level_node_id", "tsrv_uuid"))
-    fresh = only_new(processes, sessions.withColumn("pid", F.col("pid").cast("long")), ["tsrv_uuid", "pid"])
-    return with_key(fresh, ["tsrv_uuid", "host", "pid", "client_node_ip", "backend_start"]).select(
+    return (per_host.groupBy(*keys)
+            .agg(F.min("first").alias("backend_start"), F.min_by("host", F.struct("first", "host")).alias("host"))
+            .withColumnRenamed("top_level_node_id", "tsrv_uuid"))
+
+
+def _guessed_sessions(processes: DataFrame) -> DataFrame:
+    return with_key(processes, ["tsrv_uuid", "host", "pid", "client_node_ip", "backend_start"]).select(
         "id", "tsrv_uuid", "host", F.col("pid").cast("int").alias("pid"), "backend_start",
         address_part(F.col("client_node_ip")).alias("client_addr"),
         port_part(F.col("client_node_ip")).alias("client_port"), F.col("dbid").alias("datid"))
 
 
+def ghost_sessions(sessions: DataFrame, samples: DataFrame) -> DataFrame:
+    """New rows guessed from samples of processes no session is known for; the user id stays unknown."""
+    known = sessions.withColumn("pid", F.col("pid").cast("long"))
+    return _guessed_sessions(only_new(_guessed(samples), known, PROCESS_KEY))
+
+
 def close_sessions(sessions: DataFrame, activity: DataFrame, as_of,
                    hosts: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """New state: open sessions of the reporting hosts that the export no longer shows get `gone_dt`. `hosts` (a frame
@@ -106,14 +120,82 @@ def close_sessions(sessions: DataFrame, activity: DataFrame, as_of,
             .drop("__here", "__reported"))
 
 
+def _logged_state(as_of) -> list[Column]:
+    """Columns of the session log that an exported row gives."""
+    return [F.col("tsrv_uuid"), moment(as_of).alias("log_dt"),
+            *[F.col(c) for c in ("host", "datid", "datname", "pid", "leader_pid", "usesysid", "usename", *ACTIVITY_STATE)]]
+
+
 def log_sessions(activity: DataFrame, sessions: DataFrame, as_of) -> DataFrame:
     """Exported state of each session with its session id."""
     owner = sessions.select(F.col("id").alias("sess_id"), F.col("tsrv_uuid").alias("__t"), F.col("pid").alias("__p"),
                             F.col("backend_start").alias("__b"))
     joined = activity.join(owner, (activity["tsrv_uuid"] == owner["__t"]) & (activity["pid"] == owner["__p"])
                            & (activity["backend_start"] == owner["__b"]), "inner")
-    return joined.select("sess_id", "tsrv_uuid", moment(as_of).alias("log_dt"), "host", "datid", "datname", "pid",
-                         "leader_pid", "usesysid", "usename", *ACTIVITY_STATE)
+    return joined.select("sess_id", *_logged_state(as_of))
+
+
+KEPT, CLOSED, OPENED, GUESSED, APART = "kept", "closed", "opened", "guessed", "apart"
+_STORED, _EXPORTED, _SAMPLED, _HISTORY = 0, 1, 2, 3
+
+
+def session_moves(sessions: DataFrame, activity: DataFrame, samples: DataFrame, as_of, gone: DataFrame | None = None,
+                  hosts: DataFrame | None = None, written: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """What one export does to every session, in one pass: the columns of `sessions`, `move`, and `logged`, the exported
+    state where the export shows the session.
+
+    Stored rows, exported rows, processes guessed from samples and closed rows kept apart in `gone` become one tagged
+    stream. It moves twice: by process, which tells what is guessed and what is logged, and by (host, pid, start), which
+    tells what opens, stays and closes. The moves are
+
+    * kept, closed: stored rows, the latter with `gone_dt` set by this export,
+    * opened: exported rows without an open row of the same host, pid and start; a session exported twice opens once,
+    * guessed: processes nobody knows, closed at once where their host reports (it does not show them),
+    * apart: closed rows of `gone` that the export shows again. They are only logged.
+
+    The results are those of `open_sessions`, `ghost_sessions`, `close_sessions` and `log_sessions` in this order. NULL keys
+    compare equal, but are not logged. `written` stores rows that are read more than once and hands back a reader: with
+    it, each export is read once. Of `gone`, four columns are read, and only rows of exported or sampled processes move.
+    `hosts` (column `host`) are the reporting ones; default: those of the export.
+    """
+    state = F.struct(*_logged_state(as_of))
+    nothing = F.lit(None).cast(activity.select(state.alias("s")).schema["s"].dataType).alias("logged")
+
+    def tagged(rows: DataFrame, tag: int, logged: Column = nothing) -> DataFrame:
+        own = [F.col(c) if c in rows.columns else F.lit(None) for c in sessions.columns]
+        typed = [c.cast(sessions.schema[n].dataType).alias(n) for c, n in zip(own, sessions.columns)]
+        return rows.select(*typed, F.lit(tag).alias("__tag"), logged)
+
+    exported = activity.select(*_exported_sessions(activity), state.alias("logged"))
+    fresh = written(tagged(exported, _EXPORTED, F.col("logged")).unionByName(
+        tagged(_guessed_sessions(_guessed(samples)), _SAMPLED)))
+    rows = tagged(sessions, _STORED).unionByName(fresh)
+    if gone is not None:
+        wanted = renamed_keys(fresh, PROCESS_KEY).distinct()
+        history = gone.select("id", *PROCESS_KEY, "backend_start")
+        rows = rows.unionByName(tagged(history.join(wanted, null_safe(history, wanted, PROCESS_KEY), "left_semi"), _HISTORY))
+
+    tag = F.col("__tag")
+    process, start = Window.partitionBy(*PROCESS_KEY), Window.partitionBy(*PROCESS_KEY, "backend_start")
+    whole_key = F.col("tsrv_uuid").isNotNull() & F.col("pid").isNotNull() & F.col("backend_start").isNotNull()
+    rows = (rows.withColumn("__known", F.max(tag != _SAMPLED).over(process))
+            .withColumn("logged", F.when(whole_key, F.max("logged").over(start)))
+            .filter((tag != _SAMPLED) | ~F.col("__known")).drop("__known"))
+
+    same = Window.partitionBy(*SESSION_KEY)
+    rows = (rows.withColumn("__open", F.max((tag == _STORED) & F.col("gone_dt").isNull()).over(same))
+            .withColumn("__shown", F.max(tag == _EXPORTED).over(same))
+            .withColumn("__nth", F.row_number().over(Window.partitionBy(*SESSION_KEY, "__tag").orderBy(
+                "tsrv_uuid", "client_addr", "client_port", "datid")))
+            .filter((tag != _EXPORTED) | (~F.col("__open") & (F.col("__nth") == 1)))
+            .filter((tag != _HISTORY) | F.col("logged").isNotNull()))
+
+    rows = with_mark(rows, fresh.filter(tag == _EXPORTED) if hosts is None else hosts, ["host"], "__reported")
+    closes = tag.isin(_STORED, _SAMPLED) & F.col("gone_dt").isNull() & F.col("__reported") & ~F.col("__shown")
+    move = (F.when(tag == _EXPORTED, OPENED).when(tag == _SAMPLED, GUESSED).when(tag == _HISTORY, APART)
+            .when(closes, CLOSED).otherwise(KEPT))
+    return rows.select(*[F.when(closes, moment(as_of)).otherwise(F.col(c)).alias(c) if c == "gone_dt" else F.col(c)
+                         for c in sessions.columns], move.alias("move"), "logged")
 
 
 # ---- statements -------------------------------------------------------------------------------------------

@@ -234,6 +234,10 @@ STATE: dict[str, Query] = {
     "open_sessions": _on_data(lambda t: st.open_sessions(t.known_sessions, t.activity).drop("id")),
     "ghost_sessions": _on_data(lambda t: st.ghost_sessions(
         t.known_sessions.filter(F.col("datid") != 13517), t.exported_samples).drop("id")),
+    "session_moves": _on_data(lambda t: st.session_moves(
+        t.known_sessions.filter(F.col("datid") != 13517), t.activity, t.exported_samples, AS_OF).select(
+        "tsrv_uuid", "host", "pid", "backend_start", "gone_dt", "datid", "move",
+        F.col("logged.query_start").alias("logged_query_start"))),
     "log_sessions": _on_data(lambda t: st.log_sessions(t.activity, t.known_sessions, AS_OF)),
     "upsert_queries": _on_data(lambda t: st.upsert_queries(
         t.known_queries, t.exported_samples, t.activity, t.statements, AS_OF, _QUERY_HORIZON)),

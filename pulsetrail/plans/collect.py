@@ -8,6 +8,7 @@ that fall out of these writes, such as lines that did not fit.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -110,22 +111,21 @@ def collect_queries(queries: DataFrame, log: DataFrame, samples: DataFrame, acti
 
 
 def collect_sessions(sessions: DataFrame, activity: DataFrame, samples: DataFrame, as_of,
-                     gone: DataFrame | None = None, reporting: DataFrame | None = None) -> Collected:
+                     gone: DataFrame | None = None, reporting: DataFrame | None = None,
+                     written: Callable[[DataFrame], DataFrame] = lambda df: df) -> Collected:
     """Open, guess from samples, close, log: in this order. Guessed sessions are not in the export, so they are
     closed in the same run and only re-open once an export confirms them.
 
-    With closed sessions kept apart in `gone`, `sessions` holds the open ones only: they alone are rewritten.
+    With closed sessions kept apart in `gone`, `sessions` holds the open ones only: they alone are rewritten. One pass
+    decides all four (`session_moves`); `written` stores it, so that its tables are split from it without another pass.
     """
-    whole = lambda part: part if gone is None else part.unionByName(gone)
-    opened = st.open_sessions(sessions, activity)
-    with_open = st.extended(sessions, opened)
-    ghosts = st.ghost_sessions(whole(with_open), samples)
-    with_ghosts = st.extended(with_open, ghosts)
-    state = st.close_sessions(with_ghosts, activity, as_of, reporting)
-    log = st.log_sessions(activity, whole(state), as_of)
-    closed = state.filter(F.col("gone_dt") == moment(as_of))
+    moves = written(st.session_moves(sessions, activity, samples, as_of, gone, reporting, written))
+    state = moves.filter(F.col("move") != st.APART).select(*sessions.columns)
+    log = moves.filter(F.col("logged").isNotNull()).select(F.col("id").alias("sess_id"), "logged.*")
     return Collected("sessions", {"session_mst": state}, {"session_log": log},
-                     {"activity": opened, "samples": ghosts, "closed": closed, "log": log})
+                     {"activity": moves.filter(F.col("move") == st.OPENED),
+                      "samples": moves.filter(F.col("move") == st.GUESSED),
+                      "closed": state.filter(F.col("gone_dt") == moment(as_of)), "log": log})
 
 
 def host_metrics(kv: DataFrame, local_tablets: DataFrame, by=("host",), repeats: Observation | None = None) -> DataFrame:

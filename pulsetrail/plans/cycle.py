@@ -129,7 +129,7 @@ def run_cycle(tables: VersionedTables, exports: Exports, host: str, as_of,
         lambda: collect.collect_tablets(read("tablet_mst"), read("tablet_rep"), exports.local_tablets, as_of,
                                         exports.reporting),
         lambda: collect.collect_sessions(read("session_mst"), exports.activity, exports.samples, as_of,
-                                         _closed(tables, "session_mst"), exports.reporting),
+                                         _closed(tables, "session_mst"), exports.reporting, tx.scratch),
         lambda: collect.collect_queries(_queries(tables, as_of), tables.read_all("query_log", TABLES["query_log"]),
                                         exports.samples, exports.activity, exports.statements, as_of,
                                         latest=_latest_statements(tables)),

@@ -611,6 +611,25 @@ QUERIES = {
     "ghost_sessions": """
         SELECT tsrv_uuid, host, CAST(pid AS INTEGER) AS pid, backend_start, split_part(client_node_ip, ':', 1) AS client_addr,
                CAST(split_part(client_node_ip, ':', 2) AS INTEGER) AS client_port, dbid AS datid FROM ghosts""",
+    "session_moves": f"""
+        WITH stored AS (SELECT k.*, gone_dt IS NULL AND host IN (SELECT host FROM activity) AND NOT EXISTS (
+                SELECT 1 FROM activity a WHERE a.host = k.host AND a.pid = k.pid AND a.backend_start = k.backend_start) AS ends
+            FROM some_sessions k),
+        guessed AS (SELECT g.*, host IN (SELECT host FROM activity) AND NOT EXISTS (
+                SELECT 1 FROM activity a WHERE a.host = g.host AND a.pid = g.pid AND a.backend_start = g.backend_start) AS ends
+            FROM ghosts g WHERE (tsrv_uuid, pid) NOT IN (SELECT (tsrv_uuid, pid) FROM activity)),
+        moved AS (
+            SELECT tsrv_uuid, host, pid, backend_start, CASE WHEN ends THEN {AS_OF} ELSE gone_dt END AS gone_dt, datid,
+                   CASE WHEN ends THEN 'closed' ELSE 'kept' END AS move FROM stored
+            UNION ALL
+            SELECT tsrv_uuid, host, pid, backend_start, NULL, datid, 'opened' FROM activity a WHERE NOT EXISTS (
+                SELECT 1 FROM stored k WHERE k.host = a.host AND k.pid = a.pid AND k.backend_start = a.backend_start
+                  AND k.gone_dt IS NULL)
+            UNION ALL
+            SELECT tsrv_uuid, host, CAST(pid AS INTEGER), backend_start, CASE WHEN ends THEN {AS_OF} END, dbid, 'guessed'
+            FROM guessed)
+        SELECT m.*, a.query_start AS logged_query_start FROM moved m LEFT JOIN activity a
+          ON a.tsrv_uuid = m.tsrv_uuid AND a.pid = m.pid AND a.backend_start = m.backend_start""",
     "log_sessions": f"""
         SELECT k.id AS sess_id, a.tsrv_uuid, {AS_OF} AS log_dt, a.host, a.datid, 'db'||a.datid AS datname, a.pid,
                CAST(NULL AS INTEGER) AS leader_pid, CAST(10 AS BIGINT) AS usesysid, 'app' AS usename,
