@@ -13,8 +13,9 @@ def sample_counts(df: DataFrame, keys: Sequence[str], name: str = "cnt") -> Data
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def span(df: DataFrame, keys: Sequence[str], column: str, first: str, last: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min(column).alias(first), F.max(column).alias(last))
+def span(df: DataFrame, keys: Sequence[str], column: str, first: str, last: str, size: str | None = None) -> DataFrame:
+    rows = [] if size is None else [F.count(F.lit(1)).alias(size)]
+    return df.groupBy(*keys).agg(F.min(column).alias(first), F.max(column).alias(last), *rows)
 
 
 def merge_spans(state: DataFrame, batch: DataFrame, keys: Sequence[str], first: str, last: str) -> DataFrame:

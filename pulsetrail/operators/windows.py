@@ -57,13 +57,14 @@ def neighbours(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str], name: str,
-            unit: str = "hour") -> DataFrame:
-    """1-based position of each row within its key by (time, ties)."""
+            unit: str = "hour", total: str | None = None) -> DataFrame:
+    """1-based position of each row within its key by (time, ties); `total` names a column for the key's number of rows."""
     df = _sliced(df, time, unit)
     inside = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c) for c in (time, *ties)])
     sizes = df.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("__n"))
     before = (Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(*keys, _SLICE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    whole = [] if total is None else [F.sum("__n").over(Window.partitionBy(*keys)).alias(total)]
+    offsets = sizes.select(*keys, _SLICE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"), *whole)
     out = _join_summary(df.withColumn("__pos", F.row_number().over(inside)), offsets, keys)
     return out.withColumn(name, F.col("__pos") + F.col("__offset")).drop("__pos", "__offset", _SLICE)
 

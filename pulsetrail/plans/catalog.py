@@ -53,7 +53,7 @@ def _derived(t: TestData) -> str:
     if key not in _DERIVED:
         folder = run_folder(t.spark, "derived")
         overwrite(_build_rr(t), f"{folder}/root_request_mst")
-        overwrite(derive.build_rr_query_links(t.spark.read.parquet(f"{folder}/root_request_mst"), t.samples),
+        overwrite(derive.build_rr_query_links(t.spark.read.parquet(f"{folder}/root_request_mst"), t.samples, counted=True),
                   f"{folder}/root_request_query_lnk")
         _DERIVED[key] = folder
     return _DERIVED[key]
@@ -67,6 +67,10 @@ def _links(t: TestData) -> DataFrame:
     return t.spark.read.schema(LINK_SCHEMA).parquet(f"{_derived(t)}/root_request_query_lnk")
 
 
+def _counted_links(t: TestData) -> DataFrame:
+    return t.spark.read.schema(f"{LINK_SCHEMA}, n_samples long").parquet(f"{_derived(t)}/root_request_query_lnk")
+
+
 def _cut(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     old = df.filter(F.col("sample_time") < moment(td.CUT))
     return old, df.filter(F.col("sample_time") >= moment(td.CUT))
@@ -140,7 +144,7 @@ DRILLDOWNS: dict[str, Query] = {
     "query_rrs": _on_data(lambda t: drilldown.query_rrs(
         t.queries, _links(t), _rr(t), t.samples, AS_OF, LOOKBACK_SECONDS)),
     "query_text": _on_data(lambda t: drilldown.query_text(t.queries)),
-    "event_tree": _on_data(lambda t: tree.ordered(_tree(t, _rr(t), _links(t)))),
+    "event_tree": _on_data(lambda t: tree.ordered(_tree(t, _rr(t), _counted_links(t)))),
     "event_tree_tmp": _on_data(lambda t: _session_tree(t)),
     "events_per_pid_list": _on_data(lambda t: tree.ordered(tree.events_per_pid_list(
         _rr(t), _links(t), t.samples, t.sessions))),
@@ -154,7 +158,7 @@ def _tree(t: TestData, requests: DataFrame, links: DataFrame) -> DataFrame:
 def _session_tree(t: TestData) -> DataFrame:
     """The tree on requests limited to when their session was alive."""
     requests = derive.build_root_requests(t.samples, t.sessions, AS_OF, LOOKBACK_SECONDS, temporal=True)
-    return tree.ordered(_tree(t, requests, derive.build_rr_query_links(requests, t.samples)))
+    return tree.ordered(_tree(t, requests, derive.build_rr_query_links(requests, t.samples, counted=True)))
 
 
 # ---- ingest, joins and windows in their own right ---------------------------------------------------------

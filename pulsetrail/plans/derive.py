@@ -41,8 +41,9 @@ def build_root_requests(samples: DataFrame, sessions: DataFrame, as_of, seconds:
 
 
 def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: DataFrame | None = None,
-                         few: bool = False) -> DataFrame:
-    """Statements seen in each request, with first sample and duration in ms: rr_uuid, queryid, qurr_start_dt, dur_ms.
+                         few: bool = False, counted: bool = False) -> DataFrame:
+    """Statements seen in each request, with first sample and duration in ms: rr_uuid, queryid, qurr_start_dt, dur_ms;
+    with `counted`, also the number of samples, n_samples.
 
     By default all samples are folded before the requests select among the folds. With `few` requests (one
     process, say) they select the samples first.
@@ -51,10 +52,11 @@ def build_rr_query_links(root_requests: DataFrame, samples: DataFrame, known: Da
     if few:
         samples = samples_of(samples, root_requests)
     spans = span(samples.filter(F.col("query_id").isNotNull()), ["root_request_id", "query_id"],
-                 "sample_time", "lo", "hi")
+                 "sample_time", "lo", "hi", "n_samples" if counted else None)
     out = (samples_of(spans, root_requests)
            .select(F.col("root_request_id").alias("rr_uuid"), F.col("query_id").alias("queryid"),
-                   F.col("lo").alias("qurr_start_dt"), millis_rounded(F.col("lo"), F.col("hi")).alias("dur_ms")))
+                   F.col("lo").alias("qurr_start_dt"), millis_rounded(F.col("lo"), F.col("hi")).alias("dur_ms"),
+                   *(["n_samples"] if counted else [])))
     return out if known is None else only_new(out, known, ["rr_uuid", "queryid"])
 
 

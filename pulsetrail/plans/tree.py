@@ -25,15 +25,23 @@ def ordered(lines: DataFrame) -> DataFrame:
 
 
 def _lines(df: DataFrame, *parts: tuple[int, int, Column]) -> DataFrame:
-    """One row per (section, part, text), with the sort columns `df` has and NULL for the rest."""
+    """One row per (section, part, text) that has a text, with the sort columns `df` has and NULL for the rest. Lines
+    outside the body of a request belong to no statement."""
     rows = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(p).alias("part"), text.alias("output"))
                      for s, p, text in parts])
     types = {"pid": "long", "rr_min_dt": "timestamp_ntz", "qurr_start_dt": "timestamp_ntz", "queryid": "long",
              "rr_uuid": "string", "sess_id": "long", "sample_time": "timestamp_ntz", "sample_id": "long"}
     own = df.select(*[F.col(c) for c in types if c in df.columns], F.explode(rows).alias("line"))
-    return own.select(*[(F.col(f"line.{c}") if c in ("section", "part")
-                         else F.col(c) if c in own.columns else F.lit(None)).cast(types.get(c, "int")).alias(c)
-                        for c in ORDER], F.col("line.output").alias("output"))
+
+    def value(c: str) -> Column:
+        if c in ("section", "part"):
+            return F.col(f"line.{c}")
+        if c not in own.columns:
+            return F.lit(None)
+        return F.when(F.col("line.section") == BODY, F.col(c)) if c in ("qurr_start_dt", "queryid") else F.col(c)
+
+    return (own.filter(F.ltrim("line.output") != "")
+            .select(*[value(c).cast(types.get(c, "int")).alias(c) for c in ORDER], F.col("line.output").alias("output")))
 
 
 def _requests(root_requests: DataFrame, sessions: DataFrame, pid: int | None) -> DataFrame:
@@ -47,46 +55,57 @@ def _links_of(links: DataFrame, requests: DataFrame) -> DataFrame:
     return links.join(wanted, links["rr_uuid"] == wanted["__k_rr_uuid"], "left_semi")
 
 
+def _counted(links: DataFrame, samples: DataFrame) -> DataFrame:
+    """Links with `n_samples`, counted where the derivation did not."""
+    if "n_samples" in links.columns:
+        return links
+    sizes = (samples.filter(F.col("query_id").isNotNull())
+             .groupBy(F.col("root_request_id").alias("__rr"), F.col("query_id").alias("__q"))
+             .agg(F.count(F.lit(1)).alias("__n")))
+    joined = links.join(sizes, (links["rr_uuid"] == sizes["__rr"]) & (links["queryid"] == sizes["__q"]), "left")
+    return joined.withColumn("n_samples", F.coalesce("__n", F.lit(0))).drop("__rr", "__q", "__n")
+
+
 def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, samples: DataFrame,
                tablets: DataFrame, sessions: DataFrame, pid: int | None = None) -> DataFrame:
-    """Lines of the tree for one process id, or for every one. Columns: the sort key and `output`."""
+    """Lines of the tree for one process id, or for every one. Columns: the sort key and `output`.
+
+    Requests meet their statements once: the first statement's row carries the request's header, the last one's its
+    closing. Samples are read once where `links` carry their number (`n_samples`, see `derive.build_rr_query_links`);
+    otherwise they are counted in a pass of their own.
+    """
     samples = of_days(samples, root_requests)
     requests = _requests(root_requests, sessions, pid)
     numbered = ordinal(requests, ["pid"], "rr_min_dt", ["rr_uuid", "sess_id"], "rr_no")
-    short = F.substring("rr_uuid", 1, 2)
     if pid is not None:
         samples, links = samples_of(samples, requests), _links_of(links, requests)
-    labelled = join_query(links, queries, "queryid")
-
-    # statements of each request, with the number of samples they have there
-    owner = numbered.select(F.col("rr_uuid").alias("__rr"), "pid", "sess_id", "rr_min_dt", "rr_no")
-    statements = labelled.join(owner, F.col("rr_uuid") == F.col("__rr"), "inner").drop("__rr")
-    statements = ordinal(statements, ["sess_id", "rr_uuid"], "qurr_start_dt", ["queryid"], "ql_no")
-    sizes = (samples.groupBy(F.col("root_request_id").alias("__rr"), F.col("query_id").alias("__q"))
-             .agg(F.count(F.lit(1)).alias("al_no")))
-    counted = (statements.join(sizes, (statements["rr_uuid"] == sizes["__rr"]) & (statements["queryid"] == sizes["__q"]),
-                               "left").drop("__rr", "__q").withColumn("al_no", F.coalesce("al_no", F.lit(0))))
-
-    # request header and closing; the closing line shows the start of the last statement
-    last = labelled.groupBy(F.col("rr_uuid").alias("__rr")).agg(F.max("qurr_start_dt").alias("last_start"))
-    framed = requests.join(last, requests["rr_uuid"] == last["__rr"], "left").drop("__rr")
+    # statements are numbered before they meet the requests: their order is the same in every session
+    labelled = ordinal(join_query(_counted(links, samples), queries, "queryid"), ["rr_uuid"], "qurr_start_dt",
+                       ["queryid"], "ql_no", total="n_ql").withColumnRenamed("rr_uuid", "__rr")
+
+    # one row per statement of a request; a request without statements has one row without a statement
+    statements = numbered.join(labelled, F.col("rr_uuid") == F.col("__rr"), "left").drop("__rr")
+    first, last = F.coalesce("ql_no", F.lit(1)) == 1, F.col("ql_no").eqNullSafe(F.col("n_ql"))
+
+    short = F.substring("rr_uuid", 1, 2)
     title = F.concat(clock_ms(F.col("rr_min_dt")), F.lit("  "), F.col("rr_uuid"), F.lit(" from pid: "),
                      F.col("pid").cast("string"), F.lit(" clnt: "), F.col("client_addr"), F.lit(":"),
                      F.col("client_port").cast("string"), F.lit(" app: "), F.col("app_name"), F.lit("  "))
-    closing = F.concat(clock_ms(F.coalesce("last_start", "rr_min_dt")), F.lit("  "), short,
+    # the closing line shows the start of the last statement
+    closing = F.concat(clock_ms(F.coalesce("qurr_start_dt", "rr_min_dt")), F.lit("  "), short,
                        F.lit(" -- -- -- end RR -- -- -- / "))
-    request_lines = _lines(framed, (HEADER, 0, title), (CLOSING, 0, closing), (CLOSING, 1, F.lit(" .")))
-
-    start = F.concat(clock_ms(F.col("qurr_start_dt")), F.lit("  "), short)
+    start = F.when(F.col("queryid").isNotNull(), F.concat(clock_ms(F.col("qurr_start_dt")), F.lit("  "), short))
     query_line = F.concat(start, F.lit("  qry_id: "), left_pad(F.col("queryid").cast("string"), 20),
                           F.lit("  qry: "), F.col("query"))
     numbers = F.concat(F.lit("        ( rr:"), F.col("rr_no").cast("string"), F.lit(" ql:"),
-                       F.col("ql_no").cast("string"), F.lit(" al:"), F.col("al_no").cast("string"), F.lit(")"))
-    statement_lines = _lines(counted, (BODY, 0, start), (BODY, 1, query_line), (BODY, 2, start),
-                             (BODY, 4, F.concat(start, F.lit("   -- -- -- end qry -- -- -- / "), numbers)))
+                       F.col("ql_no").cast("string"), F.lit(" al:"), F.col("n_samples").cast("string"), F.lit(")"))
+    frame_lines = _lines(
+        statements, (HEADER, 0, F.when(first, title)), (BODY, 0, start), (BODY, 1, query_line), (BODY, 2, start),
+        (BODY, 4, F.concat(start, F.lit("   -- -- -- end qry -- -- -- / "), numbers)),
+        (CLOSING, 0, F.when(last, closing)), (CLOSING, 1, F.when(last, F.lit(" ."))))
 
     # samples of the reported requests and statements
-    place = (labelled.select("rr_uuid", "queryid", "qurr_start_dt")
+    place = (join_query(links, queries, "queryid").select("rr_uuid", "queryid", "qurr_start_dt")
              .join(requests.select(F.col("rr_uuid").alias("__own"), F.col("pid").alias("report_pid"), "sess_id",
                                    "rr_min_dt"), F.col("rr_uuid") == F.col("__own"), "inner").drop("__own"))
     hits = samples.join(place, (samples["root_request_id"] == place["rr_uuid"])
@@ -105,8 +124,7 @@ def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, s
     pids = only_pid(sessions, pid).select(F.col("pid").cast("long").alias("pid")).distinct()
     end_lines = _lines(pids, (REPORT_END, 0, F.lit(" -- the end -- ")))
 
-    lines = request_lines.unionByName(statement_lines).unionByName(sample_lines).unionByName(end_lines)
-    return lines.filter(F.ltrim("output") != "")
+    return frame_lines.unionByName(sample_lines).unionByName(end_lines)
 
 
 def events_per_pid_list(root_requests: DataFrame, links: DataFrame, samples: DataFrame, sessions: DataFrame,
