@@ -1,8 +1,8 @@
 """License scans as an exact set-similarity join of text blocks with templates.
 
-Texts are words (A-Z lower-cased, cut at ASCII signs and blanks), blocks are windows of 2 x `STEP` words that start every
-`STEP` words, so each run of up to STEP + 1 words lies within a block. A template's words are a set; a block matches if
-it holds at least the template's threshold of it.
+Texts are words (A-Z lower-cased, cut at ASCII signs and blanks), blocks are windows of 2 x step words that start every
+step words, so each run of up to step + 1 words lies within a block; the step is `STEP` or follows the longest template.
+A template's words are a set; a block matches if it holds at least the template's threshold of it.
 
 * Words of templates are ordered by how often all texts hold them, rarest first. A matching block holds one of the first
   n - ceil(t n) + 1 words of that order (prefix filter). The counting is one pass over all texts.
@@ -11,7 +11,8 @@ it holds at least the template's threshold of it.
 * What passes is checked exactly. For phrases (threshold 1) the places where the words stand next to each other are then
   looked up in the matching blocks; a place counts in the one block in whose first half it starts.
 
-Everything is column expressions within a text's row; templates are a fixed list of parameters. Only words of templates
+Everything is column expressions within a text's row, whose work grows in proportion to its words (blocks are cut out of
+the text, pairs are numbers); templates are a fixed list of parameters. Only words of templates
 leave the split. Null and empty texts have no words. Words beyond ASCII stay as they are.
 """
 
@@ -103,40 +104,41 @@ def scan(df: DataFrame, wanted: list[Template] | None = None, text: str = "text"
     phrases = F.array(*[F.array(*[F.lit(w) for w in t.words]) if t.phrase else F.array().cast("array<string>")
                         for t in wanted])
 
+    step = max([STEP, *[len(t.words) - 1 for t in wanted]])
+    n = len(wanted)
+    block, template = lambda p: F.floor(p / n).cast("int"), lambda p: (p % n).cast("int")
     made = df.withColumn("_w", words(F.col(text)))
-    made = made.withColumn("_k", F.filter(F.transform("_w", lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
-                                          lambda x: x["w"].isin(vocabulary)))
-    # Prefix and position filter: (block, template) pairs in which a prefix word has enough words behind it.
-    begun = F.filter("_k", lambda x: x["w"].isin(prefixes))
+    # Prefix and position filter: pairs (block x templates + template) in which a prefix word has enough words behind it.
+    begun = F.filter(F.transform("_w", lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
+                     lambda x: x["w"].isin(prefixes))
     pairs = F.flatten(F.transform(begun, lambda x: F.flatten(F.transform(
         F.filter(index, lambda e: (e["w"] == x["w"]) & (e["left"] >= F.get(needs, e["t"]))),
-        lambda e: F.array(*[F.struct((F.floor(x["i"] / STEP).cast("int") - back).alias("b"), e["t"].alias("t"))
-                            for back in (0, 1)])))))
-    made = made.withColumn("_p", F.array_distinct(F.filter(pairs, lambda p: p["b"] >= 0)))
+        lambda e: F.array(*[(F.floor(x["i"] / step) - back) * n + e["t"] for back in (0, 1)])))))
+    made = made.withColumn("_p", F.array_distinct(F.filter(pairs, lambda p: p >= 0)))
     # Length filter and exact containment, from the template words of the block.
-    inside = lambda p: F.filter(F.col("_k"), lambda x: (x["i"] >= p["b"] * STEP) & (x["i"] < (p["b"] + 2) * STEP))
-    held = F.transform("_p", lambda p: F.struct(p["b"].alias("b"), p["t"].alias("t"),
-                                                F.array_distinct(F.transform(inside(p), lambda x: x["w"])).alias("w")))
+    inside = lambda p: F.slice("_w", block(p) * step + 1, F.lit(2 * step))
+    held = F.transform("_p", lambda p: F.struct(
+        block(p).alias("b"), template(p).alias("t"),
+        F.array_distinct(F.filter(inside(p), lambda w: w.isin(vocabulary))).alias("w")))
     made = made.withColumn("_h", F.filter(held, lambda h: F.size(h["w"]) >= F.get(needs, h["t"])))
     scored = F.transform("_h", lambda h: F.struct(
         h["b"].alias("b"), h["t"].alias("t"), F.size(F.array_intersect(h["w"], F.get(sets, h["t"]))).alias("n")))
     made = made.withColumn("blocks", F.filter(scored, lambda m: m["n"] >= F.get(needs, m["t"])))
-    # Places of phrases in the matching blocks.
+    # Places of phrases in the matching blocks, each in the one block in whose first half it starts.
     starts = F.flatten(F.transform(
         F.filter("blocks", lambda m: F.size(F.get(phrases, m["t"])) > 0),
         lambda m: F.transform(F.filter(
-            F.col("_k"), lambda x: (x["i"] >= m["b"] * STEP)
-            & (x["i"] < (m["b"] + 1) * STEP)
-            & (x["w"] == F.get(F.get(phrases, m["t"]), F.lit(0)))
+            F.sequence(m["b"] * step, (m["b"] + 1) * step - 1),
+            lambda i: F.get(F.col("_w"), i).eqNullSafe(F.get(F.get(phrases, m["t"]), F.lit(0)))
             & F.aggregate(
-                F.transform(F.get(phrases, m["t"]), lambda w, k: w.eqNullSafe(F.get(F.col("_w"), x["i"] + k))),
+                F.transform(F.get(phrases, m["t"]), lambda w, k: w.eqNullSafe(F.get(F.col("_w"), i + k))),
                 F.lit(True), lambda a, b: a & b)),
-            lambda x: F.struct(x["i"].alias("i"), m["t"].alias("t")))))
-    places = F.array_sort(F.array_distinct(starts))
+            lambda i: F.struct(i.alias("i"), m["t"].alias("t")))))
+    places = F.array_sort(starts)
     size_of = F.array(*[F.lit(len(set(t.words))) for t in wanted])
     return made.select(
         *df.columns, F.size("_w").cast("long").alias("n_words"),
-        F.transform("blocks", lambda m: F.struct((m["b"] * STEP).alias("first_word"), m["t"].alias("template"),
+        F.transform("blocks", lambda m: F.struct((m["b"] * step).alias("first_word"), m["t"].alias("template"),
                                                  (m["n"] / F.get(size_of, m["t"])).alias("containment"))).alias("blocks"),
         places.alias("places"))
 

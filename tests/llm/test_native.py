@@ -1,6 +1,7 @@
 """URL templates, licenses and quality rules: column expressions only, against brute force."""
 
 import re
+import time
 from collections import Counter
 
 from edge import LONG, documents, no_documents
@@ -77,6 +78,50 @@ def test_licenses(spark):
     assert licenses.report(no_documents(spark)).count() == 0
 
 
+def blocks_by_hand(text, wanted, step):
+    w = licenses_words(text)
+    out = set()
+    for b in range(len(w) // step + 1):
+        inside = set(w[b * step:(b + 2) * step])
+        for k, t in enumerate(wanted):
+            n = len(inside & set(t.words))
+            if n >= t.need:
+                out.add((b * step, k, n / len(set(t.words))))
+    return out
+
+
+def licenses_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_license_blocks_of_long_prose(spark):
+    """Running licence prose: every matching block, as by brute force; four times the words take no more than ten times
+    as long."""
+    prose = " ".join(t for t, _ in licenses.NOTICES.values()) + " under the MIT license and the Apache License "
+    wanted, seconds = licenses.templates(), []
+    assert {r["template"] for r in licenses.scan(spark.createDataFrame([(prose,)], "text string")).first()["blocks"]} > {0, 3}
+    for n in (100, 400):
+        docs = spark.createDataFrame([(1, prose * n)], "doc_id long, text string")
+        start = time.perf_counter()
+        row = licenses.scan(docs, wanted).first()
+        seconds.append(time.perf_counter() - start)
+        assert {tuple(b) for b in row["blocks"]} == blocks_by_hand(prose * n, wanted, licenses.STEP)
+        w, starts = licenses_words(prose * n), []
+        for k, t in enumerate(wanted):
+            starts += [(i, k) for i in range(len(w)) if t.phrase and w[i:i + len(t.words)] == t.words]
+        assert [tuple(p) for p in row["places"]] == sorted(starts)
+    assert seconds[1] < 10 * seconds[0] + 2
+
+
+def test_long_templates_get_longer_blocks(spark):
+    """A template of 200 words, longer than two blocks of the default step, is found wherever it starts."""
+    own = licenses.Template("long", " ".join(f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)), 1.0, True)
+    for before in (0, 63, 150, 199):
+        docs = spark.createDataFrame([("x " * before + own.text,)], "text string")
+        row = licenses.scan(docs, [own]).first()
+        assert [tuple(p) for p in row["places"]] == [(before, 0)]
+
+
 def measures_by_hand(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
