@@ -136,9 +136,16 @@ def weigh(text: str | None, found) -> tuple[float, int, int, float]:
             free.append((first, last))
         else:
             hits[first] = max(weight, hits.get(first, 0.0))
-    for a, b in free:
-        for k in [k for k in hits if a <= k < b]:
-            del hits[k]
+    if free:
+        # one sweep over both in order of position: a hit goes if a phrase that starts before it reaches beyond it
+        free.sort(reverse=True)
+        reach, gone = -1, set()
+        for k in sorted(hits):
+            while free and free[-1][0] <= k:
+                reach = max(reach, free.pop()[1])
+            if k < reach:
+                gone.add(k)
+        hits = {k: weight for k, weight in hits.items() if k not in gone}
     return sum(hits.values()), len(hits), n, max(hits.values(), default=0.0)
 
 

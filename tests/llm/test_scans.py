@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from edge import documents, no_documents
 
@@ -134,3 +135,16 @@ def test_exception_phrases():
     assert toxicity.weigh("he is trash", found)[:2] == (4.0, 1)
     assert toxicity.weigh("the trash can and the tra5h", found)[:2] == (4.0, 1)
     assert toxicity.weigh("trash can", found)[:2] == (0.0, 0)
+
+
+def test_many_exceptions_in_one_text():
+    """Overlapping phrases free a hit that any of them covers, also in texts of 200,000 words."""
+    found = toxicity.automaton({" trash ": 4.0, " junk ": 3.0}, [" trash can ", " can trash can ", " the junk yard "])
+    by_hand = "junk can trash can trash junk the junk yard trash"
+    assert toxicity.weigh(by_hand, found)[:2] == (4.0 + 3.0 + 3.0 + 4.0, 4)
+    seconds = []
+    for n in (25_000, 100_000):
+        start = time.perf_counter()
+        assert toxicity.weigh("trash can junk trash " * n, found)[1] == 2 * n
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 10 * seconds[0] + 1
