@@ -19,7 +19,7 @@ from ..operators.windows import counter_delta
 from ..session import run_folder
 from ..sources import testdata as td
 from ..sources import text as tx
-from ..sources.tables import overwrite, table_inventory
+from ..sources.tables import append, overwrite, scan, table_inventory, write_report
 from ..sources.testdata import AS_OF, EVENTS_SCHEMA, HOSTS, LOOKBACK_SECONDS, OVERLAP, TestData, samples_from_events
 from ..streaming import samples as sm
 from . import collect, dashboards, derive, drilldown, interval, rollup, tree
@@ -27,6 +27,7 @@ from . import collect, dashboards, derive, drilldown, interval, rollup, tree
 Query = Callable[[SparkSession, str], DataFrame]
 START, END = interval_from_offsets(AS_OF, LOOKBACK_SECONDS, LOOKBACK_SECONDS)
 RR_SCHEMA = "sess_id long, rr_uuid string, rr_min_dt timestamp_ntz, rr_max_dt timestamp_ntz"
+RR_PREFIX = "a"
 LINK_SCHEMA = "rr_uuid string, queryid long, qurr_start_dt timestamp_ntz, dur_ms long"
 TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",
           "nation", "orders", "pages", "part", "region", "supplier"]
@@ -138,6 +139,10 @@ DRILLDOWNS: dict[str, Query] = {
     "session_events": _on_data(lambda t: drilldown.session_events(
         _rr(t), t.samples, t.tablets, t.queries, t.sessions)),
     "rr_session": _on_data(lambda t: drilldown.rr_session(_rr(t), t.sessions)),
+    "rr_session_prefix": _on_data(lambda t: drilldown.rr_session(_rr(t), t.sessions, RR_PREFIX)),
+    "session_events_off": _on_data(lambda t: drilldown.session_events(
+        _rr(t), t.samples, t.tablets, t.queries, t.sessions, enabled=False)),
+    "report_lines": _on_data(lambda t: _report_lines(t)),
     "rr_timing": _on_data(lambda t: drilldown.rr_timing(_rr(t), t.sessions)),
     "rr_queries": _on_data(lambda t: drilldown.rr_queries(_rr(t), _links(t), t.queries)),
     "rr_events": _on_data(lambda t: drilldown.rr_events(_rr(t), t.samples)),
@@ -151,6 +156,15 @@ DRILLDOWNS: dict[str, Query] = {
 }
 
 
+def _report_lines(t: TestData) -> DataFrame:
+    """The samples of all requests as a report file, read back line by line. The file is written when this is called."""
+    folder = run_folder(t.spark, "report")
+    rows = drilldown.rr_events(_rr(t), t.samples)
+    keys = ["rr_uuid", "sample_tim", "host", "wait_event", "query_id"]
+    write_report(rows.select(*keys, F.concat_ws(" ", *[F.col(c).cast("string") for c in keys]).alias("output")), folder, keys)
+    return tx.read_lines(t.spark, folder, "node2")
+
+
 def _tree(t: TestData, requests: DataFrame, links: DataFrame) -> DataFrame:
     return tree.event_tree(requests, links, t.queries, t.samples, t.tablets, t.sessions)
 
@@ -203,9 +217,28 @@ OPERATORS: dict[str, Query] = {
                                                    F.col("root_request_id").alias("rr_uuid"))})),
     "line_report": _on_data(lambda t: tx.line_report(t.tserver_listing, "listing", ["file_host"])),
     "check_orphans": _on_data(lambda t: q.check_orphans(t.samples, t.known_queries, "query_id", "queryid")),
+    "vanished_tablets": _on_data(lambda t: jn.vanished(
+        t.known_tablets.filter(F.col("gone_dt").isNull()), t.local_tablets.withColumnRenamed("tablet_id", "tblt_uuid"),
+        ["tblt_uuid"])
+        .select("tblt_uuid", "schema_name", "table_name")),
+    "session_keys": _on_data(lambda t: st.with_key(_all_sessions(t).drop("id"), ["tsrv_uuid", "pid", "backend_start"])
+                             .groupBy("host").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))),
+    "scan_written": _on_data(lambda t: _scan_written(t)),
+    "append_returning": _on_data(lambda t: append(
+        t.exported_samples.select("sample_id", "sample_time", "host", "root_request_id",
+                                  F.col("sample_time").cast("date").alias("day")),
+        run_folder(t.spark, "returning"), ["day"]).drop("day")),
 }
 
 
+def _scan_written(t: TestData) -> DataFrame:
+    """Samples refilled into a folder and scanned with the declared schema of the table. Written when this is called."""
+    folder = run_folder(t.spark, "scanned")
+    overwrite(t.samples.withColumn("sample_time", F.col("sample_time").cast("timestamp")), folder)
+    return scan(t.spark, "sample_log", folder).select(
+        "sample_id", F.col("sample_time").cast("timestamp_ntz").alias("sample_time"), "host", "tsrv_uuid", "root_request_id", "rpc_request_id", "wait_event", "query_id", "pid")
+
+
 def _all_sessions(t: TestData) -> DataFrame:
     """Sessions as known before and as seen now: the same intervals twice, some of them longer."""
     return t.known_sessions.unionByName(t.sessions)
@@ -279,9 +312,17 @@ STATE: dict[str, Query] = {
     "collect_samples": _on_data(lambda t: collect.collect_samples(*_sample_batches(t)).counts()),
     "collect_events": _on_data(lambda t: collect.collect_events(t.known_events, t.exported_samples, AS_OF).counts()),
     "collect_snapshot": _on_data(lambda t: _snapshot(t).counts()),
+    "run_log": _on_data(lambda t: _run_log(t)),
 }
 
 
+def _run_log(t: TestData) -> DataFrame:
+    """The run-log row of the event job; its counts are taken when this is called, its time is set to zero."""
+    job = collect.collect_events(t.known_events, t.exported_samples, AS_OF)
+    counts = {r["step"]: r["n_rows"] for r in job.counts().collect()}
+    return collect.run_log_row(t.spark, job.component, "node2", AS_OF, 0.0, counts)
+
+
 def _snapshot(t: TestData) -> collect.Collected:
     masters = t.spark.createDataFrame([], "mast_uuid string, snap_id long, host string, port int")
     servers = t.servers.filter(F.col("host") != "node5").select(

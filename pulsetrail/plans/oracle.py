@@ -594,6 +594,13 @@ QUERIES = {
         GROUP BY 1, 2""",
     "check_orphans": """SELECT query_id AS orphan, count(*) AS n_rows FROM samples
                         WHERE query_id NOT IN (SELECT queryid FROM known_queries) GROUP BY 1""",
+    "vanished_tablets": """SELECT tblt_uuid, schema_name, table_name FROM known_tablets WHERE gone_dt IS NULL
+                           AND tblt_uuid NOT IN (SELECT tblt_uuid FROM local_tablets)""",
+    "session_keys": """SELECT host, count(*) AS n_rows, count(DISTINCT (tsrv_uuid, pid, backend_start)) AS n_ids
+                       FROM all_sessions GROUP BY host""",
+    "scan_written": """SELECT sample_id, sample_time, host, tsrv_uuid, root_request_id, rpc_request_id, wait_event, query_id, pid
+                       FROM samples""",
+    "append_returning": """SELECT sample_id, sample_time, host, root_request_id FROM exported""",
     "upsert_new": f"""
         SELECT * FROM known_databases UNION ALL
         SELECT datid, 'db'||datid, min(host), {AS_OF} FROM databases
@@ -736,6 +743,16 @@ QUERIES = {
                            WHERE sample_time < (SELECT max(ts) FROM events) - INTERVAL 15 DAY""",
 }
 
+# Twins that restate another one.
+QUERIES |= {
+    "rr_session_prefix": f"SELECT * FROM ({QUERIES['rr_session']}) WHERE starts_with(rr_uuid, 'a')",
+    "session_events_off": f"SELECT * FROM ({QUERIES['session_events']}) WHERE 1 = 0",
+    "report_lines": f"""SELECT 'node2' AS host, concat_ws(' ', rr_uuid, sample_tim, host, wait_event, query_id) AS slurp
+                        FROM ({QUERIES['rr_events']})""",
+    "run_log": f"""SELECT {AS_OF} AS logged_dt, 'node2' AS log_host, component, CAST(0 AS DOUBLE) AS ela_ms,
+                          step||': '||n_rows||'.' AS info_txt FROM ({QUERIES['collect_events']})""",
+}
+
 
 def _needed(sql: str) -> set[str]:
     found: set[str] = set()

@@ -1,4 +1,6 @@
-"""Whole reports: the queries a user runs together, by name, in reading order. Everything is lazy."""
+"""Whole reports: the queries a user runs together, by name, in reading order.
+
+Everything is lazy but the crosstab of `interval_report`: a pivot without a list of hosts runs a job to find them."""
 
 from __future__ import annotations
 
