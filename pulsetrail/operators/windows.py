@@ -20,17 +20,6 @@ def _sliced(df: DataFrame, time: str, unit: str) -> DataFrame:
     return df.withColumn(_SLICE, F.date_trunc(unit, F.col(time)))
 
 
-def _join_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on NULL-safe keys, dropping the summary's copies of the keys."""
-    on = [*keys, _SLICE]
-    renamed = summary.select(*[F.col(c).alias(f"__k_{c}") if c in on else F.col(c) for c in summary.columns])
-    condition = None
-    for c in on:
-        test = df[c].eqNullSafe(renamed[f"__k_{c}"])
-        condition = test if condition is None else condition & test
-    return df.join(renamed, condition, "left").drop(*[f"__k_{c}" for c in on])
-
-
 def neighbours(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
                before: dict[str, str] | None = None, after: dict[str, str] | None = None,
                unit: str = "hour") -> DataFrame:
@@ -58,15 +47,22 @@ def neighbours(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str
 
 def ordinal(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str], name: str,
             unit: str = "hour", total: str | None = None) -> DataFrame:
-    """1-based position of each row within its key by (time, ties); `total` names a column for the key's number of rows."""
+    """1-based position of each row within its key by (time, ties); `total` names a column for the key's number of rows.
+
+    A slice's number of earlier rows travels as a row of its own, ahead of the slice's rows, so they need no join."""
     df = _sliced(df, time, unit)
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c) for c in (time, *ties)])
     sizes = df.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("__n"))
     before = (Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1))
-    whole = [] if total is None else [F.sum("__n").over(Window.partitionBy(*keys)).alias(total)]
+    whole = [] if total is None else [F.sum("__n").over(Window.partitionBy(*keys)).alias("__total")]
     offsets = sizes.select(*keys, _SLICE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"), *whole)
-    out = _join_summary(df.withColumn("__pos", F.row_number().over(inside)), offsets, keys)
-    return out.withColumn(name, F.col("__pos") + F.col("__offset")).drop("__pos", "__offset", _SLICE)
+
+    rows = df.withColumn("__row", F.lit(True)).unionByName(
+        offsets.withColumn("__row", F.lit(False)), allowMissingColumns=True)
+    ahead = Window.partitionBy(*keys, _SLICE).orderBy("__row", *[F.col(c) for c in (time, *ties)])
+    out = rows.withColumn(name, F.row_number().over(ahead) - 1 + F.first("__offset").over(ahead))
+    if total is not None:
+        out = out.withColumn(total, F.first("__total").over(ahead))
+    return out.filter("__row").drop("__row", "__offset", "__total", _SLICE)
 
 
 def counter_delta(log: DataFrame, keys: Sequence[str], time: str, columns: dict[str, str],

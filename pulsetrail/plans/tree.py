@@ -83,18 +83,21 @@ def event_tree(root_requests: DataFrame, links: DataFrame, queries: DataFrame, s
     labelled = ordinal(join_query(_counted(links, samples), queries, "queryid"), ["rr_uuid"], "qurr_start_dt",
                        ["queryid"], "ql_no", total="n_ql").withColumnRenamed("rr_uuid", "__rr")
 
-    # one row per statement of a request; a request without statements has one row without a statement
-    statements = numbered.join(labelled, F.col("rr_uuid") == F.col("__rr"), "left").drop("__rr")
+    # one row per statement of a request; a request without statements has one row without a statement. Four lines begin
+    # with the start of the statement: as a column it is formatted once
+    short = F.substring("rr_uuid", 1, 2)
+    statements = (numbered.join(labelled, F.col("rr_uuid") == F.col("__rr"), "left").drop("__rr")
+                  .withColumn("__start", F.when(F.col("queryid").isNotNull(),
+                                                F.concat(clock_ms(F.col("qurr_start_dt")), F.lit("  "), short))))
     first, last = F.coalesce("ql_no", F.lit(1)) == 1, F.col("ql_no").eqNullSafe(F.col("n_ql"))
 
-    short = F.substring("rr_uuid", 1, 2)
     title = F.concat(clock_ms(F.col("rr_min_dt")), F.lit("  "), F.col("rr_uuid"), F.lit(" from pid: "),
                      F.col("pid").cast("string"), F.lit(" clnt: "), F.col("client_addr"), F.lit(":"),
                      F.col("client_port").cast("string"), F.lit(" app: "), F.col("app_name"), F.lit("  "))
     # the closing line shows the start of the last statement
     closing = F.concat(clock_ms(F.coalesce("qurr_start_dt", "rr_min_dt")), F.lit("  "), short,
                        F.lit(" -- -- -- end RR -- -- -- / "))
-    start = F.when(F.col("queryid").isNotNull(), F.concat(clock_ms(F.col("qurr_start_dt")), F.lit("  "), short))
+    start = F.col("__start")
     query_line = F.concat(start, F.lit("  qry_id: "), left_pad(F.col("queryid").cast("string"), 20),
                           F.lit("  qry: "), F.col("query"))
     numbers = F.concat(F.lit("        ( rr:"), F.col("rr_no").cast("string"), F.lit(" ql:"),

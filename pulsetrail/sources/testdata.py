@@ -59,12 +59,18 @@ def _uuid_sql(seed: str) -> str:
     return text
 
 
+def _node_sql(number: str) -> str:
+    """`node_uuid` in SQL. The four nodes of the cluster are literals, folded once; any other number is hashed per row."""
+    known = " ".join(f"WHEN {n} THEN {_uuid_sql(f"'tsrv|{n}'")}" for n in range(2, 6))
+    return f"CASE {number} {known} ELSE {_uuid_sql(f"concat('tsrv|', CAST({number} AS STRING))")} END"
+
+
 # One SQL projection: the view is rebuilt for every query, and this costs one call instead of a hundred.
 _SAMPLE_COLUMNS = [
     "event_id AS sample_id",
     "ts AS sample_time",
     "concat('node', CAST(event_id % 4 + 2 AS STRING)) AS host",
-    _uuid_sql("concat('tsrv|', CAST(event_id % 4 + 2 AS STRING))") + " AS tsrv_uuid",
+    _node_sql("(event_id % 4 + 2)") + " AS tsrv_uuid",
     "CASE WHEN query_id <= 7 THEN '00000000-0000-0000-0000-000000000000' ELSE "
     + _uuid_sql("concat(CAST(user_id AS STRING), '|', CAST(to_date(ts) AS STRING))") + " END AS root_request_id",
     "CASE WHEN event_id % 3 <> 0 THEN event_id % 5 END AS rpc_request_id",
@@ -77,7 +83,7 @@ _SAMPLE_COLUMNS = [
     " WHEN 'signup' THEN 'ClientRead' WHEN 'error' THEN 'Extension' END AS wait_event",
     "CASE WHEN event_id % 4 <> 0 THEN left(md5(concat('tblt|', CAST(event_id % 50 + 1 AS STRING))), 15) END"
     " AS wait_event_aux",
-    _uuid_sql("concat('tsrv|', CAST(user_id % 4 + 2 AS STRING))") + " AS top_level_node_id",
+    _node_sql("(user_id % 4 + 2)") + " AS top_level_node_id",
     "query_id",
     "user_id + 1000 AS pid",
     "concat('10.0.0.', CAST(user_id AS STRING), ':', CAST(user_id + 5000 AS STRING)) AS client_node_ip",

@@ -41,6 +41,20 @@ def test_ordinal_equals_row_number(frame, unit):
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+@pytest.mark.parametrize("unit", ["minute", "hour"])
+def test_ordinal_needs_no_join(spark, unit):
+    """Moments, keys and both at once may be NULL, and rows may be equal; the rows meet their slice's offset unjoined."""
+    rows = [*_rows(3, 60), *[(k, None, i, 1) for k in ("hot", None) for i in (1, 1, 2)], *_rows(3, 60)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, i int, v int").repartition(5)
+    whole = Window.partitionBy("k")
+    want = df.withColumn("no", F.row_number().over(whole.orderBy("t", "i"))).withColumn("of", F.count("*").over(whole))
+    got = ordinal(df, ["k"], "t", ["i"], "no", unit, total="of")
+    assert got.columns == want.columns
+    places = ["k", "t", "i", "no", "of"]
+    assert sorted(map(str, got.select(places).collect())) == sorted(map(str, want.select(places).collect()))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_counter_delta_starts_empty(spark):
     df = spark.createDataFrame([("h", START + dt.timedelta(hours=i), 10 * i * i) for i in range(4)],
                                "h string, t timestamp_ntz, c long")
